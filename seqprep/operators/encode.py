@@ -127,7 +127,7 @@ def _joined_lookup(
     # A null array (not an empty one) stays null.
     for i, n in enumerate(names):
         restored = restored.withColumn(
-            n, F.when(F.col(arrays[n]).isNotNull(), F.transform(f"_a{i}", lambda x: x["v"]))
+            n, F.when(F.col(arrays[n]).isNotNull(), F.col(f"_a{i}.v"))
         )
     return restored.drop(*[f"_a{i}" for i in range(len(names))])
 
