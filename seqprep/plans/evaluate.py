@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from seqprep.operators.collate import assign_batches, collate
 from seqprep.operators.encode import decode
@@ -31,9 +31,7 @@ def evaluation_report(scores: DataFrame, vocab: DataFrame) -> DataFrame:
     if is_empty(scores):
         return failed_metrics(scores.sparkSession)
     text = evaluate_scores(scores, vocab)
-    loss = masked_xent(scores).select(F.col("loss").alias("eval_loss"))
-    joined = text.withColumn("_one", F.lit(1)).join(loss.withColumn("_one", F.lit(1)), "_one")
-    return joined.drop("_one")
+    return text.withColumn("eval_loss", masked_xent(scores).scalar())
 
 
 def encoded_report(encoded: DataFrame, pred: DataFrame, vocab: DataFrame, n: int = 5, columns: Sequence[str] = ("source", "reference")) -> DataFrame:
