@@ -77,8 +77,10 @@ _TOK13A_LITERALS = (
     ("&lt;", "<"),
     ("&gt;", ">"),
 )
+# The first class leaves out the blank it usually holds: that would only turn
+# each blank into three, and the words are split at runs of blanks in the end.
 _TOK13A_PATTERNS = (
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([\{-\~\[-\`!-\&\(-\+\:-\@\/])", " $1 "),
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),

@@ -161,9 +161,24 @@ def round_metric(value: Column, digits: int = 4) -> Column:
     return F.round(F.coalesce(F.nanvl(value.cast("double"), F.lit(0.0)), F.lit(0.0)), digits)
 
 
+def _blank_pairs_masked(df: DataFrame) -> DataFrame:
+    """Stripped texts in ``_pred`` and ``_texts``, NULL when the pair is blank.
+
+    A masked pair adds nothing to any counter, which is what dropping it does,
+    and costs no second evaluation of the texts in a filter.
+    """
+    ok = valid_pair(F.col("prediction"), F.col("references"))
+    return df.withColumns(
+        {
+            "_pred": F.when(ok, strip(F.col("prediction"))),
+            "_texts": F.when(ok, F.transform("references", strip)),
+        }
+    )
+
+
 def corpus_bleu(df: DataFrame, by: Sequence[str] = (), **kwargs) -> DataFrame:
     """BLEU and brevity penalty of the non-blank pairs, per group if asked."""
-    sums = ngram_matches(drop_empty_pairs(df), by, **kwargs)
+    sums = ngram_matches(_blank_pairs_masked(df), by, prediction="_pred", references="_texts", **kwargs)
     return sums.select(*by, round_metric(bleu()).alias("bleu"), round_metric(brevity()).alias("bp"))
 
 
@@ -182,16 +197,9 @@ def compute_metrics(
     boolean column; one true value sets the report to zero. ``extra`` holds
     further aggregates to report next to it.
     """
-    ok = valid_pair(F.col("prediction"), F.col("references"))
-    # Blank pairs keep their row but get no words, so they add nothing to BLEU.
-    masked = df.withColumns(
-        {
-            "_words": F.coalesce(word_count(F.col("prediction")), F.lit(0)),
-            "_pred": F.when(ok, strip(F.col("prediction"))),
-            "_refs_in": F.when(ok, F.transform("references", strip)),
-        }
-    )
-    counted = ngram_counts(masked, prediction="_pred", references="_refs_in", **kwargs)
+    words = F.coalesce(word_count(F.col("prediction")), F.lit(0))
+    masked = _blank_pairs_masked(df).withColumn("_words", words)
+    counted = ngram_counts(masked, prediction="_pred", references="_texts", **kwargs)
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]
     poisoned = F.bool_or(nan_flag) if nan_flag else F.lit(False)
     report = counted.groupBy(*by).agg(

@@ -7,9 +7,10 @@ those counts (a bounded number of small rows) reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seqprep.session import write_shared
@@ -34,6 +35,14 @@ def order_hash(seed: int, key: Key) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in _keys(key)]))
 
 
+def _small_table(df: DataFrame, **columns: Iterable) -> DataFrame:
+    """Driver-side columns as a table; Arrow keeps it out of any task."""
+    types = {"_bucket": pa.string()}
+    return df.sparkSession.createDataFrame(
+        pa.table({name: pa.array(list(values), types.get(name, pa.int64())) for name, values in columns.items()})
+    )
+
+
 # --- global index ---------------------------------------------------------
 
 
@@ -57,9 +66,7 @@ def hash_index(df: DataFrame, seed: int, key: Key, name: str = "shuffle_idx") ->
         prefix = row["bucket"][:digits]
         sizes[prefix] = sizes.get(prefix, 0) + row["count"]
     starts = accumulate(sizes.values(), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        list(zip(sizes, starts, strict=False)), "_bucket string, _start long"
-    )
+    offsets = _small_table(df, _bucket=sizes, _start=list(starts)[:-1])
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *keys))
     return (
         df.withColumn("_hash", hashed)
@@ -87,10 +94,7 @@ def sorted_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx"
     part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     counted = sorted(table.groupBy(part.alias("part")).count().collect())
     starts = accumulate((r["count"] for r in counted), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        [(r["part"], start) for r, start in zip(counted, starts, strict=False)],
-        "_part long, _start long",
-    )
+    offsets = _small_table(df, _part=[r["part"] for r in counted], _start=list(starts)[:-1])
     return (
         table.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")  # one row per partition

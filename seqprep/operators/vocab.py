@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from seqprep.functions.text import words
@@ -16,7 +17,15 @@ VOCAB_SCHEMA = "token string, token_id int, freq long"
 
 def special_rows(spark: SparkSession) -> DataFrame:
     """The special tokens as vocabulary rows."""
-    return spark.createDataFrame([(t, i, 0) for i, t in enumerate(SPECIAL_TOKENS)], VOCAB_SCHEMA)
+    ids = range(len(SPECIAL_TOKENS))
+    rows = pa.table(
+        {
+            "token": pa.array(SPECIAL_TOKENS, pa.string()),
+            "token_id": pa.array(ids, pa.int32()),
+            "freq": pa.array([0 for _ in ids], pa.int64()),
+        }
+    )
+    return spark.createDataFrame(rows, VOCAB_SCHEMA)
 
 
 def word_counts(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
