@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -67,7 +68,8 @@ def _broadcast_lookup(table: DataFrame, probe: str, value: str, default: int | N
         found = values.take(place)
         if default is not None:
             found = pc.fill_null(found, default)
-        offsets = pc.subtract(column.offsets, column.offsets[0])
+        lengths = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
         return pa.ListArray.from_arrays(offsets, found, mask=column.is_null())
 
     return lookup

@@ -55,13 +55,15 @@ def _count_matches(hyp: pa.Array, refs: pa.Array) -> pa.Array:
     hashing) and carry the row, so one sort per order counts the whole batch.
     """
     rows = len(hyp)
-    ref_words, ref_lens = refs.flatten(), np.diff(refs.offsets.to_numpy())
+    ref_words, ref_lens = refs.flatten(), refs.value_lengths().to_numpy(zero_copy_only=False)
     lists = len(ref_words)
-    flat = pa.concat_arrays([hyp.flatten(), ref_words.flatten()])
+    # An empty array may come without buffers, which concatenation rejects.
+    parts = [a for a in (hyp.flatten(), ref_words.flatten()) if len(a)]
+    flat = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
     codes = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     width = int(codes.max(initial=0)) + 1
     # Sequence number of each word, and the row each sequence belongs to.
-    lengths = np.concatenate([np.diff(hyp.offsets.to_numpy()), np.diff(ref_words.offsets.to_numpy())])
+    lengths = pa.concat_arrays([hyp.value_lengths(), ref_words.value_lengths()]).to_numpy(zero_copy_only=False)
     owner = np.concatenate([np.arange(rows), np.repeat(np.arange(rows), ref_lens)])
     seq = np.repeat(np.arange(rows + lists), lengths)
     start = np.arange(len(codes))
