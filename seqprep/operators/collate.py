@@ -26,7 +26,10 @@ def assign_batches(
     if size < 1:
         raise ValueError("the effective batch size must be at least 1")
     if seed is None:
-        indexed = sorted_index(df, _keys(key), "_idx")
+        # Sort the keys alone and bring the position to the rows, so that wide
+        # rows are read and shuffled once and never written.
+        keys = _keys(key)
+        indexed = df.join(sorted_index(df.select(*keys), keys, "_idx"), keys)
     else:
         indexed = hash_index(df, seed, key, "_idx")
     return indexed.withColumns(

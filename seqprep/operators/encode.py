@@ -21,7 +21,7 @@ from seqprep.operators.guards import ENCODED_COLUMNS
 from seqprep.options import EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID, PrepOptions
 
 # A vocabulary is broadcast only when it is measured to be below both bounds.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
 # In the joined lookup, a token holding more than one in this many positions is
@@ -60,14 +60,20 @@ def _broadcast_lookup(table: DataFrame, probe: str, value: str, default: int | N
         (entries[probe].combine_chunks(), entries[value].combine_chunks())
     )
     element = table.schema[value].dataType
+    places: dict = {}  # filled once per task
 
     @F.arrow_udf(T.ArrayType(element))
     def lookup(column: pa.Array) -> pa.Array:
         keys, values = sent.value
-        place = pc.index_in(column.flatten(), value_set=keys)
+        if not places:
+            places.update((key, i) for i, key in enumerate(keys.to_pylist()))
+        # Each distinct element of the batch is looked up once.
+        coded = column.flatten().dictionary_encode()
+        place = pa.array([places.get(item) for item in coded.dictionary.to_pylist()], pa.int64())
         found = values.take(place)
         if default is not None:
             found = pc.fill_null(found, default)
+        found = found.take(coded.indices)
         lengths = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False)
         offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
         return pa.ListArray.from_arrays(offsets, found, mask=column.is_null())

@@ -168,7 +168,12 @@ def max_samples(df: DataFrame, n: int | None, key: Key = "id") -> DataFrame:
         return df
     if n <= TOP_K_LIMIT:
         return head_rows(df, n, key)
-    return sorted_index(df, _keys(key), "_idx").filter(F.col("_idx") < n).drop("_idx")
+    # Only the keys are sorted; the rows are then cut by a filter on the n-th key.
+    keys = _keys(key)
+    last = sorted_index(df.select(*keys), keys, "_idx").filter(F.col("_idx") == n - 1).head()
+    if last is None:
+        return df
+    return df.filter(F.struct(*keys) <= F.struct(*[F.lit(last[k]).alias(k) for k in keys]))
 
 
 def head_rows(df: DataFrame, n: int = 5, key: Key = "id") -> DataFrame:
