@@ -24,9 +24,11 @@ from seqprep.options import EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID, PrepOptions
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
-# In the joined lookup, a token holding more than one in this many positions is
-# hot. There can be no more hot tokens than this number, whatever the data.
-HOT_SHARE = 1_000
+# In the joined lookup, so many of the most frequent elements are resolved apart;
+# any other element holds less than one in this many positions. An element
+# longer than HOT_BYTES stays with the join, where AQE splits a skewed key.
+HOT_ELEMENTS = 1_000
+HOT_BYTES = 1_024
 
 
 # --- pairs ----------------------------------------------------------------
@@ -86,10 +88,11 @@ def _joined_lookup(
 ) -> DataFrame:
     """The same replacement as a distributed join, for a table of any size.
 
-    Hot elements (at most ``HOT_SHARE`` of them, found by a partial count) get
-    their value from a small broadcast table; their rows are spread over the
-    join by row key. The other elements are joined by value. One shuffle of
-    the elements for the join, one to put the arrays together again.
+    The ``HOT_ELEMENTS`` most frequent elements (found by a partial count) get
+    their value from a small broadcast table, whether the table knows them or
+    not; their rows are spread over the join by row key. The other elements
+    are joined by value, and none of them can be frequent. One shuffle of the
+    elements for the join, one to put the arrays together again.
     """
     names = list(arrays)
     rest = [c for c in df.columns if c not in keys]
@@ -107,9 +110,11 @@ def _joined_lookup(
 
     known = table.select(F.col(probe).alias("_known"), F.col(value).alias("_value"))
     counts = elements.filter("_item is not null").groupBy("_item").agg(F.count("*").alias("_n"))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("t")).head()["t"]
-    hot = counts.filter(F.col("_n") * HOT_SHARE > total).join(known, F.col("_item") == F.col("_known"), "left")
-    hot = hot.select(F.col("_item").alias("_hot"), F.col("_value").alias("_hot_value"))
+    short = counts.filter(F.octet_length(F.col("_item").cast("string")) <= HOT_BYTES)
+    most = short.orderBy(F.desc("_n"), "_item").limit(HOT_ELEMENTS).select("_item").toArrow()
+    hot = df.sparkSession.createDataFrame(most.rename_columns(["_hot"]))  # bounded by both limits
+    hits = known.join(F.broadcast(hot), F.col("_known") == F.col("_hot")).select("_hot", "_value")
+    hot = hot.join(F.broadcast(hits), "_hot", "left").withColumnRenamed("_value", "_hot_value")
 
     spread = F.concat_ws(":", F.lit("row"), *[F.col(k).cast("string") for k in keys])
     marked = elements.join(F.broadcast(hot), F.col("_item") == F.col("_hot"), "left").withColumn(

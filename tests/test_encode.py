@@ -90,7 +90,7 @@ def test_joined_path_keeps_other_columns(spark, texts, vocab):
 
 def test_joined_path_with_a_hot_unknown_word(spark, monkeypatch):
     """A third of all tokens is one word, and it is not in the vocabulary."""
-    monkeypatch.setattr(E, "HOT_SHARE", 4)
+    monkeypatch.setattr(E, "HOT_ELEMENTS", 3)
     df = spark.range(600).select("id", F.expr("concat('hot w', id % 50, ' w', id % 7)").alias("text"))
     vocab = V.build_vocab(df, ["text"]).filter("token <> 'hot'")
     small = by_id(E.encode(df, "text", vocab), "ids")
