@@ -144,7 +144,7 @@ def encoded_sample_report(spark, sf_dir):
 
 @query(
     """SELECT (floor(epoch(ts) / 600) * 600)::BIGINT AS window_start, event_type AS run,
-              round(avg(value), 4) AS mean_value, count(value) AS n_values FROM events GROUP BY 1, 2"""
+              round(avg(value), 8) AS mean_value, count(value) AS n_values FROM events GROUP BY 1, 2"""
 )
 def monitor_windows(spark, sf_dir):
     """The batch twin of the streaming monitor."""
@@ -153,6 +153,6 @@ def monitor_windows(spark, sf_dir):
     return windows.select(
         F.unix_timestamp("window_start").alias("window_start"),
         "run",
-        F.round("mean_value", 4).alias("mean_value"),
+        F.round("mean_value", 8).alias("mean_value"),
         "n_values",
     )
