@@ -8,6 +8,8 @@ from catalog import sql as Q
 from catalog.registry import documents, ids_text, long, query, table
 from seqprep.functions.text import words
 from seqprep.operators import collate as C
+from seqprep.options import PrepOptions
+from seqprep.plans.evaluate import training_feed
 
 _LEN = f"list_transform({Q.words('text')}, lambda w: length(w))"
 # Word lengths of the first words stand in for ids; a document's own length varies.
@@ -91,6 +93,19 @@ _collated("collate", "labels[2:]", "reference")
 _collated("collate_aligned", "labels", "aligned")
 
 
+_SHUFFLED = _ROWS.replace("ORDER BY id", "ORDER BY md5('42:' || id), id")
+
+
+@query(
+    f"""WITH {_SHUFFLED} SELECT id, batch_id, pos_in_batch, {Q.ids_text('src_tokens')} AS src_tokens,
+        {Q.ids_text(_INPUT)} AS tgt_tokens_input, {Q.ids_text(_MASKED.format('labels[2:]'))} AS tgt_tokens_target,
+        {Q.ids_text('attention_mask')} AS attention_mask FROM padded"""
+)
+def shuffled_training_feed(spark, sf_dir):
+    fed = training_feed(rows(spark, sf_dir), PrepOptions(batch_size=32))
+    return fed.select(*_place(), *[ids_text(c).alias(c) for c in C.COLLATED_COLUMNS])
+
+
 @query(
     f"""WITH {_ROWS} SELECT batch_id, string_agg({Q.ids_text('src_tokens')}, '|' ORDER BY pos_in_batch) AS src_tokens,
         string_agg({Q.ids_text(_INPUT)}, '|' ORDER BY pos_in_batch) AS tgt_tokens_input FROM padded GROUP BY batch_id"""

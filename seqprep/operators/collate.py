@@ -15,23 +15,45 @@ COLLATED_COLUMNS = ("src_tokens", "tgt_tokens_input", "tgt_tokens_target", "atte
 
 
 def assign_batches(
-    df: DataFrame, batch_size: int, devices: int = 1, accum: int = 1, key: Key = "id", seed: int | None = None
+    df: DataFrame,
+    batch_size: int,
+    devices: int = 1,
+    accum: int = 1,
+    key: Key = "id",
+    seed: int | None = None,
+    measure: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``batch_id`` and ``pos_in_batch``; the last batch may be short.
 
     Rows are taken in key order, or shuffled when a ``seed`` is given. The
-    effective batch is ``batch_size * devices * accum``.
+    effective batch is ``batch_size * devices * accum``. ``measure`` names
+    array columns whose longest length per batch is wanted as well
+    (``longest_<column>``), which spares ``pad_batch`` its shuffle.
+
+    Only keys and lengths are ordered and numbered; the wide rows meet their
+    place in one equi-join. Shuffled rows that need no lengths are numbered
+    directly.
     """
     size = batch_size * devices * accum
     if size < 1:
         raise ValueError("the effective batch size must be at least 1")
-    if seed is None:
-        # Sort the keys alone and bring the position to the rows, so that wide
-        # rows are read and shuffled once and never written.
-        keys = _keys(key)
-        indexed = df.join(sorted_index(df.select(*keys), keys, "_idx"), keys)
-    else:
-        indexed = hash_index(df, seed, key, "_idx")
+    keys = _keys(key)
+    if seed is not None and not measure:
+        return _place(hash_index(df, seed, keys, "_idx"), size)
+    narrow = df.select(*keys, *[F.size(c).alias(_longest(c)) for c in measure])
+    order = sorted_index(narrow, keys, "_idx") if seed is None else hash_index(narrow, seed, keys, "_idx")
+    placed = _place(order, size)
+    if measure:
+        batch = Window.partitionBy("batch_id")
+        placed = placed.withColumns({_longest(c): F.max(_longest(c)).over(batch) for c in measure})
+    return df.join(placed, keys)
+
+
+def _longest(col: str) -> str:
+    return f"longest_{col}"
+
+
+def _place(indexed: DataFrame, size: int) -> DataFrame:
     return indexed.withColumns(
         {
             "batch_id": F.floor(F.col("_idx") / size).cast("long"),
@@ -43,14 +65,15 @@ def assign_batches(
 def pad_batch(df: DataFrame, cols: str | Sequence[str], pad: int = PAD_ID, by: str = "batch_id") -> DataFrame:
     """Pad array columns to the longest array of that column in the batch.
 
-    One shuffle by batch, whatever the number of columns; a batch is small by
-    definition.
+    Lengths measured by ``assign_batches`` are used and dropped; otherwise one
+    shuffle by batch finds them, whatever the number of columns. A batch is
+    small by definition.
     """
     names = [cols] if isinstance(cols, str) else list(cols)
     batch = Window.partitionBy(by)
-    longest = {f"_max_{c}": F.max(F.size(c)).over(batch) for c in names}
-    padded = {c: A.pad_to(F.col(c), F.col(f"_max_{c}"), pad) for c in names}
-    return df.withColumns(longest).withColumns(padded).drop(*longest)
+    unknown = {_longest(c): F.max(F.size(c)).over(batch) for c in names if _longest(c) not in df.columns}
+    padded = {c: A.pad_to(F.col(c), F.col(_longest(c)), pad) for c in names}
+    return df.withColumns(unknown).withColumns(padded).drop(*[_longest(c) for c in names])
 
 
 def stack_batches(df: DataFrame, cols: Sequence[str] = COLLATED_COLUMNS, by: str = "batch_id") -> DataFrame:
@@ -75,7 +98,7 @@ def collate(
     labels = F.col("labels")
     target = A.target_tail(labels) if alignment == "reference" else labels
     return padded.select(
-        *[c for c in df.columns if c not in ("input_ids", "attention_mask", "labels")],
+        *[c for c in padded.columns if c not in ("input_ids", "attention_mask", "labels")],
         F.col("input_ids").alias("src_tokens"),
         A.shift_right(labels, bos).alias("tgt_tokens_input"),
         A.ignore_mask(target, pad).alias("tgt_tokens_target"),

@@ -17,7 +17,8 @@ from seqprep.sources.tables import failed_metrics, sample_report
 def training_feed(encoded: DataFrame, opts: PrepOptions = PrepOptions(), shuffled: bool = True, bos: int = BOS_ID) -> DataFrame:
     """Encoded rows to collated batches, shuffled for training."""
     seed = opts.seed if shuffled else None
-    return collate(assign_batches(encoded, opts.batch_size, seed=seed), bos, PAD_ID, opts.alignment)
+    batches = assign_batches(encoded, opts.batch_size, seed=seed, measure=("input_ids", "labels"))
+    return collate(batches, bos, PAD_ID, opts.alignment)
 
 
 def evaluate_scores(scores: DataFrame, vocab: DataFrame, stop_at_eos: bool = False) -> DataFrame:

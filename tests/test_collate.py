@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from seqprep import PrepOptions
 from seqprep.operators import collate as C
+from seqprep.plans import evaluate as EV
 
 SCHEMA = "id long, input_ids array<int>, attention_mask array<int>, labels array<int>"
 ROWS = [
@@ -72,3 +74,19 @@ def test_one_shuffle_for_padding_and_stacking(spark, rows, capsys):
 def test_non_pad(spark, rows):
     kept = C.non_pad(rows, "labels").collect()
     assert {(r["id"], r["pos"], r["token_id"]) for r in kept} == {(1, 0, 5), (1, 1, 6), (1, 2, 3), (2, 0, 5), (5, 0, 9), (5, 1, 3)}
+
+
+@pytest.mark.parametrize("seed", [None, 1])
+def test_measured_lengths_give_the_same_batches(spark, rows, seed):
+    plain = C.collate(C.assign_batches(rows, 2, seed=seed))
+    measured = C.collate(C.assign_batches(rows, 2, seed=seed, measure=("input_ids", "labels")))
+    assert measured.columns == plain.columns
+    assert sorted(map(str, measured.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_training_feed_reads_the_wide_columns_once(spark, rows, tmp_path, capsys):
+    rows.write.parquet(str(tmp_path / "rows"))
+    EV.training_feed(spark.read.parquet(str(tmp_path / "rows")), PrepOptions(batch_size=2)).explain()
+    scans = [line for line in capsys.readouterr().out.splitlines() if "ReadSchema" in line]
+    # The other scan orders ids and array lengths; it never sees the masks.
+    assert len(scans) == 2 and sum("attention_mask" in line for line in scans) == 1
