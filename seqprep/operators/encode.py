@@ -2,8 +2,8 @@
 
 A vocabulary of checked, bounded size is sent to the executors once and
 applied to whole Arrow batches: encoding is then a narrow map, as it is in
-nature, with no exploded tokens and no shuffle. A larger vocabulary is joined
-instead, with the hot tokens resolved apart so that no join key is skewed.
+nature, with no exploded tokens and no shuffle. With a larger vocabulary the
+frequent tokens still go that way and only the rare ones are joined.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from seqprep.functions import arrays as A
 from seqprep.functions.text import normalize, words
@@ -24,10 +24,10 @@ from seqprep.options import EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID, PrepOptions
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
-# In the joined lookup, so many of the most frequent elements are resolved apart;
-# any other element holds less than one in this many positions. An element
-# longer than HOT_BYTES stays with the join, where AQE splits a skewed key.
-HOT_ELEMENTS = 1_000
+# Beyond them, so many of the most frequent elements of the column itself are
+# still resolved that way; any other holds less than one in this many positions.
+# An element longer than HOT_BYTES always takes the join.
+HOT_ELEMENTS = 50_000
 HOT_BYTES = 1_024
 
 
@@ -55,16 +55,19 @@ def _fits(table: DataFrame, max_rows: int, max_bytes: int) -> bool:
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def _broadcast_lookup(table: DataFrame, probe: str, value: str, default: int | None):
-    """A Column function that replaces each array element by its table value."""
-    entries = table.select(probe, value).toArrow()
-    sent = table.sparkSession.sparkContext.broadcast(
-        (entries[probe].combine_chunks(), entries[value].combine_chunks())
-    )
-    element = table.schema[value].dataType
+def _broadcast_lookup(spark: SparkSession, entries: pa.Table, element: T.DataType, default: int | None, flags: bool):
+    """A Column function that replaces each array element by its table value.
+
+    ``entries`` has the elements in its first column and their values in the
+    second. With ``flags`` the result is a struct of the values ``v`` and, for
+    each of them, whether the table has the element (``known``).
+    """
+    sent = spark.sparkContext.broadcast(tuple(entries.column(i).combine_chunks() for i in (0, 1)))
     places: dict = {}  # filled once per task
+    values_type = T.ArrayType(element)
+    flagged = T.StructType([T.StructField("v", values_type), T.StructField("known", T.ArrayType(T.BooleanType()))])
 
-    @F.arrow_udf(T.ArrayType(element))
+    @F.arrow_udf(flagged if flags else values_type)
     def lookup(column: pa.Array) -> pa.Array:
         keys, values = sent.value
         if not places:
@@ -75,74 +78,76 @@ def _broadcast_lookup(table: DataFrame, probe: str, value: str, default: int | N
         found = values.take(place)
         if default is not None:
             found = pc.fill_null(found, default)
-        found = found.take(coded.indices)
         lengths = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False)
         offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, found, mask=column.is_null())
+
+        def regrouped(per_distinct: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(offsets, per_distinct.take(coded.indices), mask=column.is_null())
+
+        if not flags:
+            return regrouped(found)
+        return pa.StructArray.from_arrays([regrouped(found), regrouped(place.is_valid())], ["v", "known"])
 
     return lookup
 
 
+def _hot_entries(df: DataFrame, arrays: Sequence[str], known: DataFrame) -> pa.Table:
+    """The most frequent elements of the columns with their value, if any."""
+    nothing = F.array().cast(df.schema[arrays[0]].dataType)
+    every = F.concat(*[F.coalesce(F.col(a), nothing) for a in arrays])
+    counts = df.select(F.explode(every).alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
+    short = counts.filter(F.octet_length(F.col("_hot").cast("string")) <= HOT_BYTES)
+    most = short.orderBy(F.desc("_n"), "_hot").limit(HOT_ELEMENTS).select("_hot").toArrow()
+    hot = df.sparkSession.createDataFrame(most)  # bounded by both limits
+    hits = known.join(F.broadcast(hot), F.col("_known") == F.col("_hot")).select("_hot", "_value")
+    return hot.join(F.broadcast(hits), "_hot", "left").toArrow()
+
+
 def _joined_lookup(
     df: DataFrame, arrays: dict[str, str], table: DataFrame, probe: str, value: str, default: int | None, keys: list[str]
 ) -> DataFrame:
-    """The same replacement as a distributed join, for a table of any size.
+    """The same replacement for a table of any size.
 
-    The ``HOT_ELEMENTS`` most frequent elements (found by a partial count) get
-    their value from a small broadcast table, whether the table knows them or
-    not; their rows are spread over the join by row key. The other elements
-    are joined by value, and none of them can be frequent. One shuffle of the
-    elements for the join, one to put the arrays together again.
+    The ``HOT_ELEMENTS`` most frequent elements (found by a partial count) are
+    resolved inside the rows, whether the table has them or not. What is left
+    is the long tail: those positions alone are exploded, joined by element -
+    none of them frequent enough to skew the join - and brought back to their
+    rows by key.
     """
-    names = list(arrays)
-    rest = [c for c in df.columns if c not in keys]
-    sides = F.array(
-        *[F.struct(F.lit(i).alias("side"), F.col(arrays[n]).alias("items")) for i, n in enumerate(names)]
-    )
-    by_side = df.select(*keys, F.struct(*rest).alias("_rest"), F.explode(sides).alias("_s"))
-    # One row per element; the other columns travel with a single one of them.
-    elements = by_side.select(
-        *keys, "_rest", F.col("_s.side").alias("_side"), F.posexplode_outer("_s.items").alias("_pos", "_item")
-    ).withColumn(
-        "_rest",
-        F.when((F.col("_side") == 0) & (F.coalesce("_pos", F.lit(0)) == 0), F.col("_rest")),
-    )
-
     known = table.select(F.col(probe).alias("_known"), F.col(value).alias("_value"))
-    counts = elements.filter("_item is not null").groupBy("_item").agg(F.count("*").alias("_n"))
-    short = counts.filter(F.octet_length(F.col("_item").cast("string")) <= HOT_BYTES)
-    most = short.orderBy(F.desc("_n"), "_item").limit(HOT_ELEMENTS).select("_item").toArrow()
-    hot = df.sparkSession.createDataFrame(most.rename_columns(["_hot"]))  # bounded by both limits
-    hits = known.join(F.broadcast(hot), F.col("_known") == F.col("_hot")).select("_hot", "_value")
-    hot = hot.join(F.broadcast(hits), "_hot", "left").withColumnRenamed("_value", "_hot_value")
-
-    spread = F.concat_ws(":", F.lit("row"), *[F.col(k).cast("string") for k in keys])
-    marked = elements.join(F.broadcast(hot), F.col("_item") == F.col("_hot"), "left").withColumn(
-        "_cold", F.col("_hot").isNull() & F.col("_item").isNotNull()
-    )
-    on = F.when(F.col("_cold"), F.col("_item").cast("string")).otherwise(spread)
-    joined = marked.withColumn("_on", on).join(
-        known.withColumn("_known", F.col("_known").cast("string")),
-        F.col("_cold") & (F.col("_on") == F.col("_known")),
-        "left",
+    element = table.schema[value].dataType
+    hot = _broadcast_lookup(
+        df.sparkSession, _hot_entries(df, list(arrays.values()), known), element, default, flags=True
     )
-    found = F.coalesce(F.when(F.col("_cold"), F.col("_value")).otherwise(F.col("_hot_value")), F.lit(default))
-    packed = [
-        F.sort_array(
-            F.collect_list(
-                F.when((F.col("_side") == i) & F.col("_pos").isNotNull(), F.struct(F.col("_pos"), found.alias("v")))
-            )
-        ).alias(f"_a{i}")
-        for i in range(len(names))
+    resolved = df.withColumns({f"_r{i}": hot(F.col(items)) for i, items in enumerate(arrays.values())})
+
+    sides = [
+        F.struct(F.lit(i).alias("side"), F.arrays_zip(F.col(items).alias("item"), F.col(f"_r{i}.known").alias("known")).alias("z"))
+        for i, items in enumerate(arrays.values())
     ]
-    grouped = joined.groupBy(*keys).agg(F.any_value("_rest", True).alias("_rest"), *packed)
-    restored = grouped.select(*keys, "_rest.*", *[f"_a{i}" for i in range(len(names))])
-    # A null array (not an empty one) stays null.
-    for i, n in enumerate(names):
-        restored = restored.withColumn(
-            n, F.when(F.col(arrays[n]).isNotNull(), F.col(f"_a{i}.v"))
+    by_side = resolved.select(*keys, F.explode(F.array(*sides)).alias("_s"))
+    every = by_side.select(*keys, F.col("_s.side").alias("_side"), F.posexplode("_s.z").alias("_pos", "_z"))
+    tail = every.filter(~F.col("_z.known")).select(*keys, "_side", "_pos", F.col("_z.item").alias("_item"))
+    joined = tail.join(known, F.col("_item") == F.col("_known"), "left")
+    entry = F.struct(F.col("_pos").alias("pos"), F.coalesce("_value", F.lit(default)).alias("v"))
+    found = joined.groupBy(*keys).agg(
+        *[F.collect_list(F.when(F.col("_side") == i, entry)).alias(f"_t{i}") for i in range(len(arrays))]
+    )
+
+    def merged(i: int) -> Column:
+        """Resolved and joined positions of one array, in order."""
+        at = F.transform(
+            F.arrays_zip(F.col(f"_r{i}.v").alias("v"), F.col(f"_r{i}.known").alias("known")),
+            lambda z, p: F.struct(p.alias("pos"), z["v"].alias("v"), z["known"].alias("known")),
         )
-    return restored.drop(*[f"_a{i}" for i in range(len(names))])
+        kept = F.transform(
+            F.filter(at, lambda e: e["known"]), lambda e: F.struct(e["pos"].alias("pos"), e["v"].alias("v"))
+        )
+        both = F.sort_array(F.concat(kept, F.col(f"_t{i}")))["v"]
+        return F.when(F.size(f"_t{i}") > 0, both).otherwise(F.col(f"_r{i}.v"))
+
+    out = resolved.join(found, keys, "left").withColumns({name: merged(i) for i, name in enumerate(arrays)})
+    return out.drop(*[f"_{x}{i}" for x in "rt" for i in range(len(arrays))])
 
 
 def lookup_arrays(
@@ -162,7 +167,8 @@ def lookup_arrays(
     Elements that are not in the table become ``default``.
     """
     if _fits(table, max_rows, max_bytes):
-        lookup = _broadcast_lookup(table, probe, value, default)
+        entries = table.select(probe, value).toArrow()
+        lookup = _broadcast_lookup(df.sparkSession, entries, table.schema[value].dataType, default, flags=False)
         return df.withColumns({new: lookup(F.col(old)) for new, old in arrays.items()})
     keys = [key] if isinstance(key, str) else list(key)
     return _joined_lookup(df, arrays, table, probe, value, default, keys)

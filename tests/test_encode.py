@@ -10,6 +10,12 @@ from seqprep.operators import vocab as V
 JOINED = {"max_rows": 0}  # forces the path of a vocabulary too large to broadcast
 
 
+@pytest.fixture(autouse=True)
+def few_hot_elements(monkeypatch):
+    """Two frequent elements only, so that the joined path has a tail to join."""
+    monkeypatch.setattr(E, "HOT_ELEMENTS", 2)
+
+
 @pytest.fixture(scope="module")
 def vocab(texts):
     return V.build_vocab(texts, ["text"])
@@ -88,9 +94,10 @@ def test_joined_path_keeps_other_columns(spark, texts, vocab):
     assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
 
 
-def test_joined_path_with_a_hot_unknown_word(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [0, 1, 3, 100])
+def test_joined_path_with_a_hot_unknown_word(spark, monkeypatch, hot):
     """A third of all tokens is one word, and it is not in the vocabulary."""
-    monkeypatch.setattr(E, "HOT_ELEMENTS", 3)
+    monkeypatch.setattr(E, "HOT_ELEMENTS", hot)
     df = spark.range(600).select("id", F.expr("concat('hot w', id % 50, ' w', id % 7)").alias("text"))
     vocab = V.build_vocab(df, ["text"]).filter("token <> 'hot'")
     small = by_id(E.encode(df, "text", vocab), "ids")
