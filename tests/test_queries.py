@@ -5,11 +5,11 @@ import re
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog import ORACLES, QUERIES
 from tests.conftest import SF_SMALL
 from tools.check import TABLES, rows_of
 
-QUERIES, ORACLES = queries(), oracle_sql()
 # Checked against numpy in test_analysis.py.
 WITHOUT_SQL = {"pca_project", "labelled_projection", "explained_variance"}
 
