@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqprep.llm import chat, line_rules, secret_scan
+from seqprep.llm import chat, licenses, line_rules, near_dedup, packing, quality, secret_scan, token_counts
 from seqprep.llm.registry import query, table
 
 # --- 5: chat formatting -------------------------------------------------------
@@ -118,3 +118,31 @@ def _spans_sql(number: int, rule: secret_scan.Rule) -> str:
 )
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents")).drop("redacted")
+
+
+# --- 1, 2, 3, 7: without SQL, tested against plain versions ----------------------
+
+
+@query()
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licences(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
