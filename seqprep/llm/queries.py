@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqprep.llm import chat, licenses, line_rules, near_dedup, packing, quality, secret_scan, token_counts
+from seqprep.llm import chat, decontaminate, licenses, line_rules, near_dedup, packing, quality, secret_scan, suffix_dedup, token_counts
 from seqprep.llm.registry import query, table
 
 # --- 5: chat formatting -------------------------------------------------------
@@ -146,3 +146,19 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# --- 8 ----------------------------------------------------------------------------
+
+
+@query()
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# --- 6 ----------------------------------------------------------------------------
+
+
+@query()
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
