@@ -11,8 +11,8 @@
    first.
 3. Pairs are confirmed on the full sets; links give connected components.
 4. Pairs that still join different components are confirmed next, among them
-   those of large buckets that hold several components: these are dealt again
-   by a further band, until the buckets are small.
+   those of large buckets that hold several components. Should such a bucket have
+   very many of these pairs, its members are dealt again by a further band.
 
 What is guaranteed: links are exact, as they are confirmed on full sets. A pair
 at the threshold 0.8 shares no band with probability 1.3e-7, and its estimate is
@@ -51,8 +51,8 @@ SKETCH_BITS = 64 * SKETCH_LONGS
 LEAST_ESTIMATE = 0.5
 #: A bucket of at most this many classes gives all its pairs.
 SMALL = 32
-#: Buckets that agree in so many bands give all their pairs, whatever their size.
-DEEPEST = 4
+#: Pairs across its largest component that a crowded bucket may give; beyond, it is dealt again, so many times.
+LIGHT, DEEPEST = 250_000, 4
 
 # --- sketches ---------------------------------------------------------------------
 
@@ -153,12 +153,27 @@ def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
 
 
 def sized(rows: DataFrame, label: str) -> DataFrame:
-    """``key, node, group`` with the bucket's size, buckets with more than one group only."""
+    """``key, node, group, used`` with the bucket's size, buckets with more than one group only."""
     found = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("group").alias("_lo"), F.max("group").alias("_hi"))
     mixed = found.filter("_lo <> _hi").select("key", "size")
     return write_shared(rows.join(mixed, "key"), label)
 
 
+def with_outsiders(crowded: DataFrame) -> DataFrame:
+    """Members of mixed buckets with the bucket's largest group (``main``) and its number of pairs across that group."""
+    counts = crowded.groupBy("key", "group").agg(F.count("*").alias("n"))
+    most = counts.groupBy("key").agg(F.max(F.struct("n", "group")).alias("m"), F.sum("n").alias("all"))
+    told = most.select("key", F.col("m.group").alias("main"), ((F.col("all") - F.col("m.n")) * F.col("all")).alias("across"))
+    return crowded.join(told, "key")
+
+
+def outsider_pairs(members: DataFrame) -> DataFrame:
+    """Every pair of different groups in a bucket, by way of the members outside its largest group."""
+    outside = members.filter("group <> main").select("key", F.col("node").alias("a"), F.col("group").alias("_ga"))
+    every = members.select("key", F.col("node").alias("b"), F.col("group").alias("_gb"))
+    return outside.join(every, "key").filter("_ga <> _gb").select("a", "b")
+
+
 def regrouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``key, node`` with the component of the node as group."""
     known = labels.select("node", F.col("label").alias("group"))
@@ -231,16 +246,19 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80, small: i
         crowded = sized(regrouped(crowded, labels), "crowded")
         if crowded.isEmpty():
             break
-        # Deal the members of each such bucket again, by each of their other band values.
+        # Few pairs across the largest component: try them. Else deal the members again, by each of their other band values.
         depth += 1
+        crowded = with_outsiders(crowded)
+        light = F.col("across") <= (LIGHT if depth < DEEPEST else 2**62)
+        across = outsider_pairs(crowded.filter(light))
+        crowded = crowded.filter(~light)
         bands = nodes.select("node", F.explode("bands").alias("_more"))
         further = crowded.join(bands, "node").filter(~F.array_contains("used", F.col("_more")))
         further = further.select("node", "group", F.array_sort(F.array_append("used", F.col("_more"))).alias("used"))
         members = sized(further.select(F.xxhash64("used").alias("key"), "node", "group", "used").distinct(), "buckets")
-        all_below = small if depth < DEEPEST else 2**31 - 1
-        pairs = write_shared(estimated(bucket_pairs(members, all_below), nodes), "pairs")
+        pairs = write_shared(estimated(bucket_pairs(members, small).unionByName(across), nodes), "pairs")
         best = pairs.select("a", "b").limit(0)
-        crowded = members.filter(F.col("size") > all_below).select("key", "node", "used")
+        crowded = members.filter(F.col("size") > small).select("key", "node", "used")
 
     named = labels.join(nodes.select("node", "first_id"), "node")
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
