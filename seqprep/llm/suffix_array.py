@@ -46,7 +46,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, rank
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int, lanes: int = 4096) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, depth: int, lanes: int = 4096) -> np.ndarray:
     """Kasai: for each place its common prefix with the place before, up to ``depth``.
 
     The text is cut into lanes that run in step; along a lane a common prefix is
@@ -64,11 +64,12 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int, lanes: int
     while len(at):
         other = before[at]
         mine, its = at + height, other + height
-        same = (other >= 0) & (height < depth) & (mine < n) & (its < n)
+        tied = (other >= 0) & (rank[other] == rank[at])
+        same = ~tied & (other >= 0) & (height < depth) & (mine < n) & (its < n)
         same &= text[np.minimum(mine, n - 1)] == text[np.clip(its, 0, n - 1)]
         done = ~same
-        found[place[at[done]]] = height[done]
-        height = np.where(same, height + 1, np.maximum(height - 1, 0))
+        found[place[at[done]]] = np.where(tied, depth, height)[done]
+        height = np.where(same, height + 1, np.where(tied, 0, np.maximum(height - 1, 0)))
         at = at + done
         going = at < stop
         if not going.all():

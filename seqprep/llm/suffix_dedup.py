@@ -4,8 +4,8 @@ A window is a string of ``WINDOW`` bytes; a window is a repeat if the same bytes
 also start earlier (smaller doc_id, or the same document further left). Every
 byte that a repeated window covers is removed.
 
-1. Each window has an anchor: the smallest hash of its 32-byte strings. Runs of
-   windows with one anchor are segments. Equal windows have equal anchors, so
+1. Each window has an anchor: the smallest hash of its 32-byte strings, leftmost.
+   Runs of windows with one anchor are segments. Equal windows have equal anchors, so
    only segments with one anchor need comparing. Equal segments of an Arrow batch
    are combined before the shuffle: all but the first are repeats as they stand.
 2. Segments meet by anchor, in order. Of equal segments all but the first are
@@ -67,15 +67,20 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def window_anchors(raw: np.ndarray) -> np.ndarray:
-    """The smallest gram hash of each window."""
+def window_anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest gram hash of each window and where it is, leftmost."""
     low = gram_hashes(raw)
+    at = np.arange(len(low), dtype=np.int32)
+
+    def either(low: np.ndarray, at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        later = low[step:] < low[:-step]
+        return np.where(later, low[step:], low[:-step]), np.where(later, at[step:], at[:-step])
+
     size = 1
     while 2 * size <= GRAMS:
-        low = np.minimum(low[:-size], low[size:])
+        low, at = either(low, at, size)
         size *= 2
-    rest = GRAMS - size
-    return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
+    return either(low, at, GRAMS - size) if size < GRAMS else (low, at)
 
 
 def segments(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -83,13 +88,13 @@ def segments(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     data = np.frombuffer(raw, np.uint8)
     parts = []
     for lo in range(0, max(0, len(data) - WINDOW + 1), BLOCK):
-        own = window_anchors(data[lo : lo + BLOCK + WINDOW - 1])
+        own, gram = window_anchors(data[lo : lo + BLOCK + WINDOW - 1])
         at = np.arange(lo, lo + len(own))
         text = np.searchsorted(ends, at, side="right")
         real = at + WINDOW <= ends[text]
-        own, at, text = own[real], at[real], text[real]
+        own, gram, at, text = own[real], gram[real], at[real], text[real]
         if len(own):
-            new = np.flatnonzero((own[1:] != own[:-1]) | (text[1:] != text[:-1])) + 1
+            new = np.flatnonzero((gram[1:] != gram[:-1]) | (text[1:] != text[:-1])) + 1
             begin = np.concatenate([[0], new])
             parts.append((own[begin], at[begin], text[begin], np.diff(np.append(begin, len(own)))))
     if not parts:
@@ -240,8 +245,8 @@ def equal_windows(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     text = np.frombuffer(b"".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces])
     ends = np.cumsum(sizes)
-    order, _ = suffix_array(text, WINDOW)
-    group = np.cumsum(common_prefixes(text, order, WINDOW) < WINDOW)
+    order, rank = suffix_array(text, WINDOW)
+    group = np.cumsum(common_prefixes(text, order, rank, WINDOW) < WINDOW)
     piece = np.searchsorted(ends, order, side="right")
     real = order + WINDOW <= ends[piece]
     piece = piece[real]
