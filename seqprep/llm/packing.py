@@ -23,6 +23,7 @@ ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,12 +42,19 @@ END_ID = 0
 # --- tokens ---------------------------------------------------------------------
 
 
+#: White space besides the blank and the line feed (Unicode property White_Space; fixed values).
+OTHER_BLANKS = "".join(map(chr, [9, *range(11, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
+#: Letters of the Latin blocks.
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+
+
 class Encoder:
     """Token ids as little-endian 32-bit bytes, with the answers for frequent parts kept.
 
-    Before a blank that is followed by something else the splitting pattern
-    always begins a new word, so a text can be cut there and the parts encoded
-    by themselves. Texts with double blanks or special strings go whole.
+    The splitting pattern always begins a new word at a blank that is followed by
+    something else, on either side of a line feed between words, and after the
+    last letter of a word; a text can be cut there and the parts encoded by
+    themselves. Texts with other white space or special strings go whole.
     """
 
     #: Bound of the kept answers, by memory; beyond it they are forgotten and found again.
@@ -57,44 +65,35 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.indivisible = re.compile("|".join([r"[ \n]\Z", "  ", r" \n", r"\n\n[\n ]", f"[{OTHER_BLANKS}]", *specials]))
+        self.parts = re.compile(rf"\n| ?[{LATIN}]+(?=[.,]?(?:[ \n]|\Z))|[.,](?=[ \n]|\Z)| ?[^ \n]+")
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def learn(self, parts: list[str]) -> None:
-        """Encode the parts, a blank before each, as one text and cut its ids again."""
-        for some in chunked(parts, 20_000):
-            begins = np.cumsum([0, *(len(p) + 1 for p in some)])
-            encoding = self.tokenizer.encode_batch([" " + " ".join(some)], add_special_tokens=False)[0]
+        """Encode parts; those that begin with a blank as one text whose ids are cut again."""
+        for some in chunked((p for p in parts if p[0] == " "), 20_000):
+            begins = np.cumsum([0, *map(len, some)])
+            encoding = self.tokenizer.encode_batch(["".join(some)], add_special_tokens=False)[0]
             ids = np.array(encoding.ids, "<u4")
             cuts = np.searchsorted([o[0] for o in encoding.offsets], begins[:-1]).tolist() + [len(ids)]
             self.known.update((p, ids[a:b].tobytes()) for p, a, b in zip(some, cuts, cuts[1:]))
-
-    def divisible(self, text: str, rest: list[str]) -> bool:
-        if "  " in text or text.endswith(" ") or any(s in text for s in self.specials):
-            return False
-        return not any(p[0] in OTHER_BLANKS for p in rest)
+        self.known.update((p, self.whole(p)) for p in parts if p[0] != " ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.split(" ") for t in texts]
-        fit = [self.divisible(t, p[1:]) for t, p in zip(texts, parts)]
-        wanted = set().union(*(p[1:] for p, f in zip(parts, fit) if f))
+        parts = [None if self.indivisible.search(t) else self.parts.findall(t) for t in texts]
+        wanted = set().union(*(p for p in parts if p))
         missing = [p for p in wanted if p not in self.known]
         if missing and len(self.known) + len(missing) > self.MOST:
             self.known.clear()
             missing = list(wanted)
         self.learn(missing)
-        known = self.known
-        return [
-            (self.whole(p[0]) if p[0] else b"") + b"".join([known[w] for w in p[1:]]) if f else self.whole(t)
-            for t, p, f in zip(texts, parts, fit)
-        ]
-
+        of = self.known.__getitem__
+        return [self.whole(t) if p is None else b"".join(map(of, p)) for t, p in zip(texts, parts)]
 
-#: White space besides the blank (Unicode property White_Space; fixed values).
-OTHER_BLANKS = frozenset(map(chr, [*range(9, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
