@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from seqprep.llm import line_rules, secret_scan  # noqa: E402
+from seqprep.llm import decontaminate, line_rules, near_dedup, packing, secret_scan  # noqa: E402
 from seqprep.session import write_shared  # noqa: E402
 
 
@@ -18,14 +18,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_rules.keep_clean(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    return near_dedup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked."""
     return secret_scan.redact_secrets(docs)
 
 
-STAGES = [("quality", quality), ("secrets", secrets)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequence and offset."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scans", secrets),
+    ("packing", pack),
+]
 
-#: SQL can't express the stages that scan text with learned or sketched structures.
+#: SQL can't express the sketches, windows and packing; tests compare with plain versions.
 ORACLE_SQL = None
 
 
