@@ -55,38 +55,30 @@ def shingles(words: str | Column, width: int) -> Column:
     return F.transform(places, lambda i: F.xxhash64(F.slice(words, i, width)))
 
 
-def simhash(words: Column) -> Column:
+def simhash(words: str) -> Column:
     """Bit b is set when more than half of the words' hashes have it.
 
     The counts of four bits share one number, a lane of 15 bits each.
     """
-    spread = F.array(*[F.lit(sum(((v >> j) & 1) << (LANE * j) for j in range(LANES))).cast("long") for v in range(1 << LANES)])
+    spread = ", ".join(f"{sum(((v >> j) & 1) << (LANE * j) for j in range(LANES))}L" for v in range(1 << LANES))
     numbers = range(BITS // LANES)
-    zero = F.struct(*[F.lit(0).cast("long").alias(f"n{i}") for i in numbers])
-
-    def add(total: Column, word: Column) -> Column:
-        nibble = lambda i: F.shiftright(word, LANES * i).bitwiseAND(F.lit(15)).cast("int")
-        return F.struct(*[(total[f"n{i}"] + F.get(spread, nibble(i))).alias(f"n{i}") for i in numbers])
-
-    counts = F.aggregate(words, zero, add)
-    half = F.size(words)
-
-    def bit(b: int) -> Column:
-        count = F.shiftright(counts[f"n{b // LANES}"], LANE * (b % LANES)).bitwiseAND(F.lit((1 << LANE) - 1))
-        return F.when(count * 2 > half, F.lit((1 << b) - (1 << BITS if b == BITS - 1 else 0)).cast("long")).otherwise(F.lit(0).cast("long"))
-
-    return reduce(lambda x, y: x.bitwiseOR(y), map(bit, range(BITS)))
+    zero = ", ".join(f"'n{i}', 0L" for i in numbers)
+    added = ", ".join(f"'n{i}', t.n{i} + get(array({spread}), cast(shiftright(w, {LANES * i}) & 15 as int))" for i in numbers)
+    bits = " | ".join(
+        f"if((shiftright(c.n{b // LANES}, {LANE * (b % LANES)}) & {(1 << LANE) - 1}) * 2 > size({words}), shiftleft(1L, {b}), 0L)" for b in range(BITS)
+    )
+    return F.expr(f"aggregate({words}, named_struct({zero}), (t, w) -> named_struct({added}), c -> {bits})")
 
 
-def block_values(fingerprint: Column) -> Column:
+def block_values(fingerprint: str) -> Column:
     """Array of the blocks' values; the first blocks are one bit longer than the last."""
     long_blocks = BITS % BLOCKS
     values, at = [], 0
     for k in range(BLOCKS):
         size = BITS // BLOCKS + (k < long_blocks)
-        values.append(F.shiftright(fingerprint, at).bitwiseAND(F.lit((1 << size) - 1)).cast("int"))
+        values.append(f"cast(shiftright({fingerprint}, {at}) & {(1 << size) - 1} as int)")
         at += size
-    return F.array(*values)
+    return F.expr(f"array({', '.join(values)})")
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -118,7 +110,8 @@ def find_in(docs: DataFrame, items: DataFrame, width: int, wanted: list[int], lo
         F.explode(F.transform(begins, lambda o: F.struct(o.alias("at"), F.slice("words", o + 1, SEGMENT + longest).alias("words")))).alias("s"),
     ).select("doc_id", "doc_words", "s.at", "s.words")
     shingled = segments.withColumn("shingles", shingles("words", width))
-    places = F.filter(F.transform("shingles", lambda x, i: F.when(x.isin(wanted), i)), lambda i: i.isNotNull())
+    among = ", ".join(f"{v}L" if v > -(2**63) else "cast('-9223372036854775808' as long)" for v in wanted)
+    places = F.expr(f"filter(transform(shingles, (x, i) -> if(x in ({among}), i, null)), i -> i is not null)")
     hit = shingled.withColumn("places", places).filter(F.size("places") > 0)
 
     lengths = F.broadcast(items.select(F.explode("shingles").alias("shingle"), F.size("words").alias("item_words")).distinct())
@@ -134,14 +127,14 @@ def find_in(docs: DataFrame, items: DataFrame, width: int, wanted: list[int], lo
         F.slice("words", F.col("start") + 1, F.col("size")).alias("w"),
         F.slice("shingles", F.col("start") + 1, F.col("size") - (width - 1)).alias("window"),
     )
-    marked = windows.select("doc_id", "item_words", "size", "start", "window", simhash(F.col("w")).alias("print"))
-    dealt = marked.select("*", F.posexplode(block_values(F.col("print"))).alias("block", "value"))
+    marked = windows.select("doc_id", "item_words", "size", "start", "window", simhash("w").alias("print"))
+    dealt = marked.select("*", F.posexplode(block_values("print")).alias("block", "value"))
 
-    index = items.select("item_id", F.size("words").alias("item_words"), F.col("shingles").alias("item"), simhash(F.col("words")).alias("item_print"))
-    index = index.select("*", F.posexplode(block_values(F.col("item_print"))).alias("block", "value"))
+    index = items.select("item_id", F.size("words").alias("item_words"), F.col("shingles").alias("item"), simhash("words").alias("item_print"))
+    index = index.select("*", F.posexplode(block_values("item_print")).alias("block", "value"))
     met = dealt.join(F.broadcast(index), ["item_words", "block", "value"])
     # Once per pair: only at the first block in which the two agree.
-    agreeing = F.array_position(F.zip_with(block_values(F.col("print")), block_values(F.col("item_print")), lambda x, y: x == y), True)
+    agreeing = F.array_position(F.zip_with(block_values("print"), block_values("item_print"), lambda x, y: x == y), True)
     met = met.filter((distance(F.col("print"), F.col("item_print")) <= RADIUS) & (agreeing == F.col("block") + 1))
     shared = met.withColumn("shared", shared_weight(F.col("window"), F.col("item")))
     total = F.size("window") + F.size("item") - F.col("shared")
