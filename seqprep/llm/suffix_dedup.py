@@ -385,6 +385,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     tie = F.coalesce(F.xxhash64("text"), F.lit(0)) if several else F.lit(0).cast("long")
     docs = docs.select("doc_id", tie.alias("tie"), "text")
     known = docs.filter("doc_id is not null")
+    known = known.dropDuplicates(["doc_id", "tie"]) if several else known
 
     found = write_shared(sifted(corpus_segments(known)), "segments")
     sure = found.filter("not open").select("doc_id", "tie", "start", "windows")

@@ -245,7 +245,7 @@ def test_leaks(spark, monkeypatch):
     texts = [
         (1, prose(33) + " " + a + " " + prose(34)), (2, prose(35) + " " + changed.upper().replace(" ", ", ")), (3, " ".join(words[:-4])),
         (4, prose(36, 300) + b + " " + a), (5, "so la la la la la la la la la la la la"), (6, "Two words!"), (7, None), (8, ""), (9, prose(37)),
-        (None, a), (1, a), (10, " ".join(words[:20]) + " extra " + " ".join(words[20:])),
+        (None, a), (1, a), (10, " ".join(words[:37]) + " extra " + " ".join(words[37:])),
     ]
     made = decontaminate.leaks(clashing(documents(spark, texts)), spark.createDataFrame(items, "item_id long, text string")).collect()
     got = {(r.doc_id, r.item_id): (round(r.similarity, 9)) for r in made}
