@@ -12,9 +12,9 @@ from seqprep.options import PrepOptions
 from seqprep.plans.evaluate import training_feed
 
 _LEN = f"list_transform({Q.words('text')}, lambda w: length(w))"
-# Word lengths of the first words stand in for ids; a document's own length varies.
+# Word lengths stand in for ids; a document's own length varies.
 _ROWS = f"""rows AS (
-    SELECT doc_id AS id, ({_LEN})[1:30] AS input_ids, list_append(({_LEN})[1:20], 3) AS labels FROM documents),
+    SELECT doc_id AS id, {_LEN} AS input_ids, list_append({_LEN}, 3) AS labels FROM documents),
   placed AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS idx FROM rows),
   batched AS (SELECT *, (idx // 32)::BIGINT AS batch_id, (idx % 32)::BIGINT AS pos_in_batch,
                      list_transform(input_ids, lambda x: 1) AS attention_mask FROM placed),
@@ -30,7 +30,7 @@ def rows(spark, sf_dir):
     ids = F.transform(words(F.col("text")), lambda w: F.length(w))
     eos = F.array(F.lit(3))
     coded = documents(spark, sf_dir).select(
-        "id", F.slice(ids, 1, 30).alias("input_ids"), F.concat(F.slice(ids, 1, 20), eos).alias("labels")
+        "id", ids.alias("input_ids"), F.concat(ids, eos).alias("labels")
     )
     return coded.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
 

@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-import json
-import tempfile
 import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from catalog import sql as Q
 from catalog.corpus import pairs
-from catalog.encoding import ALL_PADDED, DOC_VOCAB, DOCS, _as_text, clean_and_vocab
+from catalog.encoding import ALL_PADDED, _as_text
 from catalog.quality import scores
-from catalog.registry import documents, ids_text, query
+from catalog.registry import documents, query
 from seqprep.functions.text import normalize
 from seqprep.operators import guards as G
 from seqprep.operators import scoring as U
-from seqprep.operators.encode import encode_pairs, encode_with_file as encode_file, select_pair
+from seqprep.operators.encode import encode_pairs, select_pair
 from seqprep.operators.metrics import masked_xent
 from seqprep.operators.vocab import build_vocab
-from seqprep.options import SPECIAL_TOKENS, PrepOptions
+from seqprep.options import PrepOptions
 from seqprep.session import shared_dir
 from seqprep.sources import processed as S
 from seqprep.sources.tables import write_metrics
@@ -106,25 +103,6 @@ def map_batches(spark, sf_dir):
     return U.map_batches(documents(spark, sf_dir).select("id", "text"), measure, "id long, n long")
 
 
-@query(
-    f"""WITH {DOCS}, {DOC_VOCAB}, {Q.encoded('enc', 'docs', 'text', 31)}
-        SELECT id, {Q.ids_text(Q.pad('list_append(ids, 3)', 32))} AS ids FROM enc"""
-)
-def encode_with_file(spark, sf_dir):
-    """A tokenizer file that holds the word vocabulary gives the same ids."""
-    docs, vocab = clean_and_vocab(spark, sf_dir)
-    ids = {r["token"]: r["token_id"] for r in vocab.select("token", "token_id").collect()}
-    model = {
-        "version": "1.0",
-        "added_tokens": [],
-        "pre_tokenizer": {"type": "WhitespaceSplit"},
-        "model": {"type": "WordLevel", "vocab": ids, "unk_token": SPECIAL_TOKENS[1]},
-    }
-    with tempfile.NamedTemporaryFile("w", suffix=".json", prefix="words-", delete=False) as file:
-        json.dump(model, file)
-    return encode_file(docs, "text", file.name, max_len=32, eos=3).select("id", ids_text("ids").alias("ids"))
-
-
 @query(ALL_PADDED)
 def prepare_stream(spark, sf_dir):
     """New files through the stream: the same rows as the batch encoding."""

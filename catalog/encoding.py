@@ -14,9 +14,7 @@ from seqprep.operators import vocab as V
 from seqprep.options import PrepOptions
 from seqprep.plans.prepare import prepare
 
-SIZE = 5000  # vocabulary rows in the queries with a capped vocabulary
-
-DOC_VOCAB = Q.vocab(f"SELECT {Q.words('text')} AS w FROM docs", SIZE)
+DOC_VOCAB = Q.vocab(f"SELECT {Q.words('text')} AS w FROM docs")
 DOCS = f"docs AS (SELECT doc_id AS id, {Q.normalize('text')} AS text FROM documents)"
 
 
@@ -27,7 +25,7 @@ def clean(spark, sf_dir):
 
 def clean_and_vocab(spark, sf_dir):
     docs = clean(spark, sf_dir)
-    return docs, V.build_vocab(docs, ["text"], max_size=SIZE)
+    return docs, V.build_vocab(docs, ["text"])
 
 
 # --- whole-column encoding ------------------------------------------------
@@ -53,7 +51,7 @@ def encode_truncated_and_padded(spark, sf_dir):
 def encode_by_join(spark, sf_dir):
     """The same as for a vocabulary that is too large to broadcast."""
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    return E.encode(docs, "text", vocab, max_rows=0).select("id", ids_text("ids").alias("ids"))
+    return E.encode(docs, "text", vocab, max_rows=0, hot_elements=100).select("id", ids_text("ids").alias("ids"))
 
 
 # --- array functions on an id column (here: word lengths) -----------------
@@ -162,7 +160,7 @@ def encode_pairs_variable_length(spark, sf_dir):
 @query(_pair_sql(_QUARTER, 128, 128, True))
 def prepare_corpus(spark, sf_dir):
     """Flagship: subset of both splits, normalised, vocabulary, encoded, padded, masked."""
-    return _as_text(prepare(pairs(spark, sf_dir), PrepOptions(normalize=True))[0])
+    return _as_text(prepare(pairs(spark, sf_dir), PrepOptions(normalize=True, dataset_fraction=0.25))[0])
 
 
 # --- decode ---------------------------------------------------------------
@@ -184,11 +182,11 @@ def decode(spark, sf_dir):
 def decode_by_join(spark, sf_dir):
     """The same as for a vocabulary that is too large to broadcast."""
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    return E.decode(E.encode(docs, "text", vocab), "ids", vocab, max_rows=0).select("id", "text")
+    return E.decode(E.encode(docs, "text", vocab), "ids", vocab, max_rows=0, hot_elements=100).select("id", "text")
 
 
 @query(
-    f"""WITH {DOCS}, {DOC_VOCAB}, w AS (SELECT id, ({Q.words('text')})[1:31] AS w FROM docs),
+    f"""WITH {DOCS}, {DOC_VOCAB}, w AS (SELECT id, {Q.words('text')} AS w FROM docs),
       p AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM w),
       l AS (SELECT id, pos, coalesce(token_id, 1) AS token_id, coalesce(token, '<unk>') AS token
             FROM p LEFT JOIN vocab ON token = word
@@ -197,5 +195,5 @@ def decode_by_join(spark, sf_dir):
 )
 def token_labels(spark, sf_dir):
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    labels = E.token_labels(E.encode(docs, "text", vocab, max_len=32), "ids", vocab)
+    labels = E.token_labels(E.encode(docs, "text", vocab), "ids", vocab)
     return labels.select("id", long("pos").alias("pos"), long("token_id").alias("token_id"), "token")

@@ -37,7 +37,11 @@ def predictions(spark, sf_dir):
     )
 
 
-@query(f"SELECT doc_id AS id, array_to_string({Q.ngrams(Q.words('text'), 3)}, '|') AS grams FROM documents")
+@query(
+    f"""WITH t AS MATERIALIZED (SELECT doc_id AS id, {Q.words('text')} AS w FROM documents),
+        g AS (SELECT id, i, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM t))
+        SELECT id, coalesce(string_agg(g, '|' ORDER BY i), '') AS grams FROM t LEFT JOIN g USING (id) GROUP BY id"""
+)
 def ngrams(spark, sf_dir):
     grams = A.ngrams(F.col("w"), 3)
     split = documents(spark, sf_dir).select("id", words(F.col("text")).alias("w"))

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from seqprep.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -33,8 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as ``id, text, lang``."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
-    return spread(docs)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
 
 
 def ids_text(ids: str | Column) -> Column:

@@ -62,7 +62,7 @@ def ids_text(ids: str) -> str:
 # Pairs of a user turn and the assistant turn after it.
 PAIRS = """
   pairs AS (
-    SELECT u.conv_id * 100 + u.turn AS id,
+    SELECT u.conv_id * 4294967296 + u.turn AS id,
            CASE u.conv_id % 10 WHEN 0 THEN 'validation' WHEN 1 THEN 'test' ELSE 'train' END AS split,
            u.text AS source, a.text AS target
     FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1

@@ -37,7 +37,8 @@ def tables_close(
     """One row: are both tables equal, element by element, within tolerance?
 
     The bound is ``atol + rtol * |target|``. A token only one side has, or
-    vectors of different length, make the tables different; so does NaN.
+    vectors of different length, make the tables different; so does NaN. Equal
+    infinities are equal.
     """
     left = src.select(key, F.col(VECTOR).alias("_a"))
     right = tgt.select(key, F.col(VECTOR).alias("_b"))
@@ -47,7 +48,7 @@ def tables_close(
         "_a",
         "_b",
         lambda x, y: F.coalesce(
-            (F.abs(x.cast("double") - y.cast("double")) <= atol + rtol * F.abs(y.cast("double")))
+            ((x == y) | (F.abs(x.cast("double") - y.cast("double")) <= atol + rtol * F.abs(y.cast("double"))) & (F.abs(y) < float("inf")))
             & ~F.isnan(x)
             & ~F.isnan(y),
             F.lit(False),

@@ -10,6 +10,7 @@ from seqprep.functions import arrays as A
 from seqprep.operators.guards import require_columns
 from seqprep.operators.sampling import Key, _keys, hash_index, sorted_index
 from seqprep.options import BOS_ID, PAD_ID
+from seqprep.session import write_shared
 
 COLLATED_COLUMNS = ("src_tokens", "tgt_tokens_input", "tgt_tokens_target", "attention_mask")
 
@@ -31,8 +32,10 @@ def assign_batches(
     (``longest_<column>``), which spares ``pad_batch`` its shuffle.
 
     Only keys and lengths are ordered and numbered; the wide rows meet their
-    place in one equi-join. Shuffled rows that need no lengths are numbered
-    directly.
+    place in one equi-join by a tag, so rows with equal or NULL keys each keep a
+    place of their own. The tagged rows are written to the shared folder, which
+    also spares evaluating ``df`` anew for each pass. Shuffled rows that need no
+    lengths are numbered directly.
     """
     size = batch_size * devices * accum
     if size < 1:
@@ -40,13 +43,14 @@ def assign_batches(
     keys = _keys(key)
     if seed is not None and not measure:
         return _place(hash_index(df, seed, keys, "_idx"), size)
-    narrow = df.select(*keys, *[F.size(c).alias(_longest(c)) for c in measure])
-    order = sorted_index(narrow, keys, "_idx") if seed is None else hash_index(narrow, seed, keys, "_idx")
-    placed = _place(order, size)
+    tagged = write_shared(df.withColumn("_row", F.monotonically_increasing_id()), "tagged")
+    narrow = tagged.select("_row", *keys, *[F.size(c).alias(_longest(c)) for c in measure])
+    order = sorted_index(narrow, [*keys, "_row"], "_idx") if seed is None else hash_index(narrow, seed, keys, "_idx")
+    placed = _place(order, size).drop(*keys)
     if measure:
         batch = Window.partitionBy("batch_id")
         placed = placed.withColumns({_longest(c): F.max(_longest(c)).over(batch) for c in measure})
-    return df.join(placed, keys)
+    return tagged.join(placed, "_row").drop("_row")
 
 
 def _longest(col: str) -> str:

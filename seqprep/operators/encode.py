@@ -19,6 +19,7 @@ from seqprep.functions import arrays as A
 from seqprep.functions.text import normalize, words
 from seqprep.operators.guards import ENCODED_COLUMNS
 from seqprep.options import EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID, PrepOptions
+from seqprep.session import write_shared
 
 # A vocabulary is broadcast only when it is measured to be below both bounds.
 BROADCAST_ROWS = 500_000
@@ -91,33 +92,36 @@ def _broadcast_lookup(spark: SparkSession, entries: pa.Table, element: T.DataTyp
     return lookup
 
 
-def _hot_entries(df: DataFrame, arrays: Sequence[str], known: DataFrame) -> pa.Table:
+def _hot_entries(df: DataFrame, arrays: Sequence[str], known: DataFrame, n: int) -> pa.Table:
     """The most frequent elements of the columns with their value, if any."""
     nothing = F.array().cast(df.schema[arrays[0]].dataType)
     every = F.concat(*[F.coalesce(F.col(a), nothing) for a in arrays])
     counts = df.select(F.explode(every).alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
     short = counts.filter(F.octet_length(F.col("_hot").cast("string")) <= HOT_BYTES)
-    most = short.orderBy(F.desc("_n"), "_hot").limit(HOT_ELEMENTS).select("_hot").toArrow()
+    most = short.orderBy(F.desc("_n"), "_hot").limit(n).select("_hot").toArrow()
     hot = df.sparkSession.createDataFrame(most)  # bounded by both limits
     hits = known.join(F.broadcast(hot), F.col("_known") == F.col("_hot")).select("_hot", "_value")
     return hot.join(F.broadcast(hits), "_hot", "left").toArrow()
 
 
 def _joined_lookup(
-    df: DataFrame, arrays: dict[str, str], table: DataFrame, probe: str, value: str, default: int | None, keys: list[str]
+    df: DataFrame, arrays: dict[str, str], table: DataFrame, probe: str, value: str, default: int | None, hot_elements: int
 ) -> DataFrame:
     """The same replacement for a table of any size.
 
-    The ``HOT_ELEMENTS`` most frequent elements (found by a partial count) are
+    The ``hot_elements`` most frequent elements (found by a partial count) are
     resolved inside the rows, whether the table has them or not. What is left
     is the long tail: those positions alone are exploded, joined by element -
     none of them frequent enough to skew the join - and brought back to their
-    rows by key.
+    rows by a tag. The tagged rows are written to the shared folder first, so a
+    tag stays with its row whatever is recomputed; no key is needed, and rows
+    with equal or NULL keys stay apart.
     """
+    df, keys = write_shared(df.withColumn("_row", F.monotonically_increasing_id()), "tagged"), ["_row"]
     known = table.select(F.col(probe).alias("_known"), F.col(value).alias("_value"))
     element = table.schema[value].dataType
     hot = _broadcast_lookup(
-        df.sparkSession, _hot_entries(df, list(arrays.values()), known), element, default, flags=True
+        df.sparkSession, _hot_entries(df, list(arrays.values()), known, hot_elements), element, default, flags=True
     )
     resolved = df.withColumns({f"_r{i}": hot(F.col(items)) for i, items in enumerate(arrays.values())})
 
@@ -147,7 +151,7 @@ def _joined_lookup(
         return F.when(F.size(f"_t{i}") > 0, both).otherwise(F.col(f"_r{i}.v"))
 
     out = resolved.join(found, keys, "left").withColumns({name: merged(i) for i, name in enumerate(arrays)})
-    return out.drop(*[f"_{x}{i}" for x in "rt" for i in range(len(arrays))])
+    return out.drop("_row", *[f"_{x}{i}" for x in "rt" for i in range(len(arrays))])
 
 
 def lookup_arrays(
@@ -157,21 +161,21 @@ def lookup_arrays(
     probe: str,
     value: str,
     default: int | None = None,
-    key: str | Sequence[str] = "id",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    hot_elements: int | None = None,
 ) -> DataFrame:
     """Replace array elements by their value in a vocabulary table.
 
     ``arrays`` maps each new column to the array column it comes from.
-    Elements that are not in the table become ``default``.
+    Elements that are not in the table become ``default``. The rows are the same
+    on both sides of the bounds, whatever their keys.
     """
     if _fits(table, max_rows, max_bytes):
         entries = table.select(probe, value).toArrow()
         lookup = _broadcast_lookup(df.sparkSession, entries, table.schema[value].dataType, default, flags=False)
         return df.withColumns({new: lookup(F.col(old)) for new, old in arrays.items()})
-    keys = [key] if isinstance(key, str) else list(key)
-    return _joined_lookup(df, arrays, table, probe, value, default, keys)
+    return _joined_lookup(df, arrays, table, probe, value, default, HOT_ELEMENTS if hot_elements is None else hot_elements)
 
 
 # --- encode ---------------------------------------------------------------
@@ -185,11 +189,10 @@ def encode(
     max_len: int | None = None,
     add_special: bool = True,
     padding: str | None = None,
-    key: str | Sequence[str] = "id",
     **bounds: int,
 ) -> DataFrame:
     """Token ids of a text column; unknown words get the ``<unk>`` id."""
-    return _encode(df, {out: (col, max_len)}, vocab, add_special, padding, key, **bounds)
+    return _encode(df, {out: (col, max_len)}, vocab, add_special, padding, **bounds)
 
 
 def _encode(
@@ -198,7 +201,6 @@ def _encode(
     vocab: DataFrame,
     add_special: bool,
     padding: str | None,
-    key: str | Sequence[str],
     **bounds: int,
 ) -> DataFrame:
     split = {}
@@ -209,7 +211,7 @@ def _encode(
         split[f"_{out}"] = found if room is None else F.slice(found, 1, room)
     ready = df.withColumns(split)
     ready = lookup_arrays(
-        ready, {out: f"_{out}" for out in columns}, vocab, "token", "token_id", UNK_ID, key, **bounds
+        ready, {out: f"_{out}" for out in columns}, vocab, "token", "token_id", UNK_ID, **bounds
     )
     ids = {}
     for out, (_, max_len) in columns.items():
@@ -237,7 +239,7 @@ def encode_pairs(
     texts = {c: normalize(F.col(c)) if opts.normalize else F.col(c) for c in ("source", "target")}
     pairs = df.select(*kept, *[text.alias(c) for c, text in texts.items()])
     columns = {"_src": ("source", opts.max_source_length), "labels": ("target", opts.max_target_length)}
-    encoded = _encode(pairs, columns, vocab, True, None, keys, **bounds)
+    encoded = _encode(pairs, columns, vocab, True, None, **bounds)
     src, labels = F.col("_src"), F.col("labels")
     if opts.padding == "max_length":
         mask = A.attention_mask(src, opts.max_source_length)
@@ -256,7 +258,6 @@ def decode(
     vocab: DataFrame,
     out: str = "text",
     skip_special: bool = True,
-    key: str | Sequence[str] = "id",
     **bounds: int,
 ) -> DataFrame:
     """Text of an id column, or of several (``{new column: id column}``).
@@ -270,7 +271,7 @@ def decode(
         for new, old in columns.items()
     }
     found = lookup_arrays(
-        df.withColumns(ids), {new: f"_{new}" for new in columns}, vocab, "token_id", "token", None, key, **bounds
+        df.withColumns(ids), {new: f"_{new}" for new in columns}, vocab, "token_id", "token", None, **bounds
     )
     return found.withColumns({new: F.array_join(new, " ") for new in columns}).drop(*ids)
 
@@ -281,61 +282,10 @@ def token_labels(
     """One row per position: the id there and its token."""
     keys = [key] if isinstance(key, str) else list(key)
     found = lookup_arrays(
-        df.select(*keys, col), {"_tokens": col}, vocab, "token_id", "token", None, keys, **bounds
+        df.select(*keys, col), {"_tokens": col}, vocab, "token_id", "token", None, **bounds
     )
     pairs = F.arrays_zip(F.col(col).alias("token_id"), F.col("_tokens").alias("token"))
     return found.select(*keys, F.posexplode(pairs).alias("pos", "_p")).select(
         *keys, "pos", F.col("_p.token_id").alias("token_id"), F.col("_p.token").alias("token")
     )
 
-
-# --- tokenizer files ------------------------------------------------------
-
-
-def _load_tokenizer(name: str):
-    """Encoder function of a shipped tokenizer file (in a Python worker)."""
-    from pyspark import SparkFiles
-
-    path = SparkFiles.get(name)
-    if name.endswith(".json"):
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(path)
-        return lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda texts: model.encode(texts, out_type=int)
-
-
-def encode_with_file(
-    df: DataFrame,
-    col: str,
-    model_path: str,
-    out: str = "ids",
-    max_len: int = 128,
-    eos: int | None = None,
-    padding: str | None = "max_length",
-    pad: int = PAD_ID,
-) -> DataFrame:
-    """Subword ids from a tokenizer file (``.json`` or a sentencepiece model).
-
-    The file goes to the executors once and is opened once per task; cutting,
-    end id and padding are the same Column functions as everywhere.
-    """
-    from collections.abc import Iterator
-
-    df.sparkSession.sparkContext.addFile(model_path)
-    name = model_path.rsplit("/", 1)[-1]
-
-    def subwords(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        run = _load_tokenizer(name)
-        for texts in batches:
-            ids = iter(run(texts.drop_null().to_pylist()))
-            yield pa.array([next(ids) if t.is_valid else None for t in texts], pa.list_(pa.int32()))
-
-    subwords.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    ids = F.arrow_udf(subwords, T.ArrayType(T.IntegerType()))(F.col(col))
-    cut = A.truncate(F.col(out), max_len, add_special=eos is not None, eos=eos or 0)
-    encoded = df.withColumn(out, ids).withColumn(out, cut)
-    return encoded.withColumn(out, A.pad_to(F.col(out), max_len, pad)) if padding == "max_length" else encoded

@@ -27,8 +27,8 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def nan_in(scores: Column) -> Column:
-    """True when the array holds a NaN."""
-    return F.exists(scores, lambda x: F.isnan(x))
+    """True when the array is NULL or holds a NaN or a NULL."""
+    return F.coalesce(F.exists(scores, lambda x: F.isnan(x) | x.isNull()), F.lit(True))
 
 
 def has_nan(df: DataFrame, col: str, name: str = "has_nan") -> DataFrame:

@@ -257,5 +257,5 @@ def decode_scores(
         end = F.array_position(pred, EOS_ID)
         pred = F.when(end > 0, F.slice(pred, F.lit(1), end.cast("int") - 1)).otherwise(pred)
     ids = texts.select(key, "has_nan", pred.alias("_pred_ids"), target.alias("_ref_ids"))
-    text = decode(ids, {"prediction": "_pred_ids", "_reference": "_ref_ids"}, vocab, key=key, **bounds)
+    text = decode(ids, {"prediction": "_pred_ids", "_reference": "_ref_ids"}, vocab, **bounds)
     return text.select(key, "prediction", F.array("_reference").alias("references"), "has_nan")

@@ -32,7 +32,10 @@ def _keys(key: Key) -> list[str]:
 
 def order_hash(seed: int, key: Key) -> Column:
     """The pseudo-random but reproducible sort value of a row."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in _keys(key)]))
+    keys = [F.col(k).cast("string") for k in _keys(key)]
+    if len(keys) > 1:  # with their lengths, so that no two keys give the same text
+        keys = [F.coalesce(F.concat(F.char_length(k).cast("string"), F.lit("="), k), F.lit("-")) for k in keys]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *keys))
 
 
 def _small_table(df: DataFrame, **columns: Iterable) -> DataFrame:
@@ -163,17 +166,25 @@ def get_subset(df: DataFrame, fraction: float, seed: int = 42, key: Key = "id")
 
 
 def max_samples(df: DataFrame, n: int | None, key: Key = "id") -> DataFrame:
-    """The first ``n`` rows by key; None keeps all."""
+    """The first ``n`` rows by key, exactly; None keeps all.
+
+    Only the keys are sorted. The rows are cut by a filter on the n-th key; of
+    rows that share it, the ones with the lowest row hash fill up the number.
+    """
     if n is None:
         return df
-    if n <= TOP_K_LIMIT:
-        return head_rows(df, n, key)
-    # Only the keys are sorted; the rows are then cut by a filter on the n-th key.
+    if n <= 0:
+        return df.limit(0)
     keys = _keys(key)
-    last = sorted_index(df.select(*keys), keys, "_idx").filter(F.col("_idx") == n - 1).head()
+    indexed = sorted_index(df.select(*keys), keys, "_idx")
+    last = indexed.filter(F.col("_idx") == n - 1).head()
     if last is None:
         return df
-    return df.filter(F.struct(*keys) <= F.struct(*[F.lit(last[k]).alias(k) for k in keys]))
+    own = F.struct(*keys)
+    edge = F.struct(*[F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in keys])
+    before = indexed.filter(F.struct(*keys) < edge).count()
+    tied = df.filter(own == edge).orderBy(F.xxhash64(*df.columns)).limit(n - before)
+    return df.filter(own < edge).unionByName(tied)
 
 
 def head_rows(df: DataFrame, n: int = 5, key: Key = "id") -> DataFrame:

@@ -85,8 +85,14 @@ def vocab_fingerprint(vocab: DataFrame) -> str:
     return f"{row['n']}-{row['h'] & 0xFFFFFFFFFFFFFFFF:016x}"
 
 
-def first_token_id(df: DataFrame, col: str, vocab: DataFrame) -> DataFrame:
-    """Rows of ``df`` with the id of their first word; unknown words drop out."""
-    known = vocab.select(F.col("token").alias("_first"), "token_id")
-    first = F.try_element_at(words(F.col(col)), F.lit(1))
-    return df.withColumn("_first", first).join(known, "_first").drop("_first")
+def first_token_id(df: DataFrame, col: str, vocab: DataFrame, **bounds: int) -> DataFrame:
+    """Rows of ``df`` with the id of their first word; unknown words drop out.
+
+    The first word of a text is among the most skewed keys there are, so it goes
+    through the array lookup, where frequent words never take a join.
+    """
+    from seqprep.operators.encode import lookup_arrays
+
+    first = F.slice(F.coalesce(words(F.col(col)), F.array().cast("array<string>")), 1, 1)
+    found = lookup_arrays(df.withColumn("_first", first), {"_ids": "_first"}, vocab, "token", "token_id", None, **bounds)
+    return found.withColumn("token_id", F.get("_ids", F.lit(0))).filter("token_id is not null").drop("_first", "_ids")

@@ -21,7 +21,7 @@ class PrepOptions:
 
     dataset_name: str = "wmt14"
     dataset_config_name: str = "fr-en"
-    dataset_fraction: float = 0.25
+    dataset_fraction: float = 1.0
     source_lang: str = "fr"
     target_lang: str = "en"
     max_source_length: int = 128

@@ -69,11 +69,3 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that comes in fewer splits than there are.
-
-    Does nothing for a table of cluster size, which has far more splits.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -12,7 +12,7 @@ _FORMATS = {
     "parquet": ("parquet", {}),
     "orc": ("orc", {}),
     "json": ("json", {}),
-    "csv": ("csv", {"header": "true", "multiLine": "true", "escape": '"'}),
+    "csv": ("csv", {"header": "true", "escape": '"'}),
     "tsv": ("csv", {"header": "true", "sep": "\t", "quote": ""}),
 }
 
@@ -24,6 +24,7 @@ def read_parallel(
     schema: str | StructType | None = None,
     id_col: str = "id",
     languages: Mapping[str, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Sentence pairs as ``id, [split,] translation``.
 
@@ -31,10 +32,17 @@ def read_parallel(
     from them, so a filter on it prunes whole folders. ``languages`` packs flat
     text columns (``{language code: column}``) into the ``translation`` struct;
     without it the data must already have that column (struct or map).
+
+    Parquet data without an id column get one from the file and the place in it,
+    which a later read gives again. Ids of text formats become numbers when all
+    of a value is digits and ``schema`` does not say otherwise. ``multi_line``
+    reads CSV fields with line breaks; such a file is one task.
     """
     if fmt not in _FORMATS:
         raise ValueError(f"unknown format {fmt!r}; one of {sorted(_FORMATS)}")
     name, options = _FORMATS[fmt]
+    if multi_line:
+        options = {**options, "multiLine": "true"}
     reader = spark.read.format(name).options(**options)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
     if languages:
@@ -43,14 +51,27 @@ def read_parallel(
     if "translation" not in df.columns:
         raise ValueError(f"no translation column in {path}; found {df.columns}")
     split = ["split"] if "split" in df.columns else []
-    return df.select(F.col(id_col).alias("id"), *split, "translation")
+    if id_col not in df.columns:
+        if fmt != "parquet":
+            raise ValueError(f"no id column {id_col!r} in {path}; found {df.columns}")
+        place = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index")
+        return df.select(place.alias("id"), *split, "translation")
+    number = F.col(id_col)
+    if schema is None and fmt in ("csv", "tsv") and df.filter(number.isNotNull() & number.try_cast("long").isNull()).isEmpty():
+        number = number.cast("long")
+    return df.select(number.alias("id"), *split, "translation")
+
+
+#: Turns of a conversation that fit below the next conversation's ids.
+TURNS = 1 << 32
 
 
 def pairs_from_turns(conv: DataFrame, source_lang: str = "fr", target_lang: str = "en") -> DataFrame:
     """Each user turn with the assistant turn right after it, as a pair.
 
     Joined on (conversation, turn), which is unique, so a huge conversation
-    spreads over all tasks.
+    spreads over all tasks. The id is unique for any number of turns; a
+    conversation id beyond 31 bits is an arithmetic error, not a wrong id.
     """
     asked = conv.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("_source"))
     answered = conv.filter("role = 'assistant'").select(
@@ -59,15 +80,18 @@ def pairs_from_turns(conv: DataFrame, source_lang: str = "fr", target_lang: str
     bucket = F.col("conv_id") % 10
     split = F.when(bucket == 0, "validation").when(bucket == 1, "test").otherwise("train")
     return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("id"),
+        (F.col("conv_id") * TURNS + F.col("turn")).alias("id"),
         split.alias("split"),
         F.struct(F.col("_source").alias(source_lang), F.col("_target").alias(target_lang)).alias("translation"),
     )
 
 
 def eval_split_name(df: DataFrame) -> str:
-    """``validation`` when the data has it, else ``test``."""
-    return "validation" if not df.filter("split = 'validation'").isEmpty() else "test"
+    """``validation`` when the data has it, else ``test``; an error when it has neither."""
+    for name in ("validation", "test"):
+        if not df.filter(F.col("split") == name).isEmpty():
+            return name
+    raise ValueError("the data has neither a validation nor a test split")
 
 
 def resolve_eval_split(df: DataFrame) -> DataFrame:

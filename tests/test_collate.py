@@ -90,3 +90,12 @@ def test_training_feed_reads_the_wide_columns_once(spark, rows, tmp_path, capsys
     scans = [line for line in capsys.readouterr().out.splitlines() if "ReadSchema" in line]
     # The other scan orders ids and array lengths; it never sees the masks.
     assert len(scans) == 2 and sum("attention_mask" in line for line in scans) == 1
+
+
+def test_repeated_and_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, [4, 5]), (1, [6]), (None, [7]), (None, [8, 9, 9])], "id long, input_ids array<int>")
+    for seed in (None, 3):
+        for measure in ((), ("input_ids",)):
+            made = C.assign_batches(df, 2, seed=seed, measure=measure)
+            assert sorted(tuple(r.input_ids) for r in made.collect()) == [(4, 5), (6,), (7,), (8, 9, 9)]
+            assert sorted((r.batch_id, r.pos_in_batch) for r in made.collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]

@@ -1,4 +1,3 @@
-import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,26 +143,12 @@ def test_encode_adds_no_shuffle(spark, texts, vocab, capsys):
     assert "Exchange" not in capsys.readouterr().out
 
 
-def test_encode_with_json_file(spark, texts, vocab, tmp_path):
-    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
-    file = tmp_path / "words.json"
-    model = {"type": "WordLevel", "vocab": ids, "unk_token": "<unk>"}
-    file.write_text(
-        json.dumps({"version": "1.0", "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}, "model": model})
-    )
-    got = by_id(E.encode_with_file(texts, "text", str(file), max_len=5, eos=3), "ids")
-    assert got == by_id(E.encode(texts, "text", vocab, max_len=5, padding="max_length"), "ids")
-    loose = by_id(E.encode_with_file(texts, "text", str(file), max_len=3, padding=None), "ids")
-    assert loose[2] == [] and len(loose[0]) == 3
-
-
-def test_encode_with_sentencepiece_file(spark, tmp_path):
-    sentencepiece = pytest.importorskip("sentencepiece")
-    lines = [f"the quick brown fox number {i} jumps over a lazy dog" for i in range(200)]
-    sentencepiece.SentencePieceTrainer.train(
-        sentence_iterator=iter(lines), model_prefix=str(tmp_path / "piece"), vocab_size=60, minloglevel=2
-    )
-    df = spark.createDataFrame([(0, lines[3]), (1, "fox")], "id long, text string")
-    got = by_id(E.encode_with_file(df, "text", str(tmp_path / "piece.model"), max_len=64, padding=None), "ids")
-    model = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "piece.model"))
-    assert got == {0: model.encode(lines[3]), 1: model.encode("fox")}
+def test_both_sides_of_the_bounds_give_the_same_rows(spark, vocab):
+    rows = [(2, "the cat"), (2, "dog dog the mat"), (None, "zebra the sat"), (None, None), (3, "")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    wide = E.encode(df, "text", vocab)
+    joined = E.encode(df, "text", vocab, max_rows=0, hot_elements=1)
+    shown = lambda d: sorted(map(repr, d.select("id", "text", "ids").collect()))
+    assert shown(wide) == shown(joined)
+    back = [E.decode(d, "ids", vocab, **b) for d, b in ((wide, {}), (joined, {"max_rows": 0, "hot_elements": 1}))]
+    assert sorted(map(repr, back[0].select("id", "text").collect())) == sorted(map(repr, back[1].select("id", "text").collect()))

@@ -95,7 +95,6 @@ def test_max_samples(spark, monkeypatch):
     df = frame(spark, 300)
     assert S.max_samples(df, None).count() == 300
     assert sorted(r["id"] for r in S.max_samples(df, 7).collect()) == list(range(7))
-    monkeypatch.setattr(S, "TOP_K_LIMIT", 5)
     assert sorted(r["id"] for r in S.max_samples(df, 120).collect()) == list(range(120))
 
 
@@ -122,3 +121,15 @@ def test_every_nth(spark):
     assert [r["step"] for r in S.every_nth(spark.range(25).toDF("step")).orderBy("step").collect()] == [0, 10, 20]
     with pytest.raises(ValueError):
         S.every_nth(spark.range(1).toDF("step"), n=0)
+
+
+def test_max_samples_keeps_exactly_n_of_tied_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (2, "d"), (None, "e"), (3, "f")], "id long, text string")
+    for n in range(8):
+        assert S.max_samples(df, n).count() == min(n, 6)
+    assert sorted(r["text"] for r in S.max_samples(df, 2).collect()) == ["a", "e"]
+
+
+def test_hash_of_several_columns_tells_keys_apart(spark):
+    df = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), (None, "c"), ("c", None)], "x string, y string")
+    assert df.select(S.order_hash(1, ["x", "y"]).alias("h")).distinct().count() == 4

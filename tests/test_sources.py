@@ -41,7 +41,7 @@ def test_read_flat_text_files(spark, tmp_path):
     df = spark.createDataFrame(rows, "id long, fr string, en string")
     df.write.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
     got = R.read_parallel(
-        spark, str(tmp_path / "csv"), "csv", "id long, fr string, en string", languages={"fr": "fr", "en": "en"}
+        spark, str(tmp_path / "csv"), "csv", "id long, fr string, en string", languages={"fr": "fr", "en": "en"}, multi_line=True
     )
     assert sorted((r["id"], *r["translation"]) for r in got.collect()) == rows
     tsv = tmp_path / "pairs.tsv"
@@ -62,7 +62,7 @@ def test_pairs_from_turns(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "user", "open"), (2, 0, "assistant", "x")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     got = R.pairs_from_turns(df).collect()
-    assert [(r["id"], r["split"], tuple(r["translation"])) for r in got] == [(101, "test", ("q", "a"))]
+    assert [(r["id"], r["split"], tuple(r["translation"])) for r in got] == [((1 << 32) + 1, "test", ("q", "a"))]
 
 
 def test_eval_split(spark, raw):
@@ -176,6 +176,26 @@ def test_shared_folder(spark, monkeypatch):
         session.shared_dir(Cluster)
 
 
-def test_spread_only_touches_small_tables(spark):
-    assert session.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
-    assert session.spread(spark.range(10, numPartitions=9)).rdd.getNumPartitions() == 9
+def test_missing_evaluation_split_is_an_error(spark):
+    with pytest.raises(ValueError, match="neither"):
+        R.eval_split_name(spark.createDataFrame([("train",)], "split string"))
+
+
+def test_parquet_without_ids_gets_reproducible_ones(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.range(50).selectExpr("named_struct('fr', string(id), 'en', string(id)) AS translation").repartition(3).write.parquet(path)
+    first, again = (sorted(map(repr, R.read_parallel(spark, path).collect())) for _ in range(2))
+    assert first == again and R.read_parallel(spark, path).select("id").distinct().count() == 50
+
+
+def test_ids_of_turns_are_unique(spark):
+    rows = [(1, 100, "user", "a"), (1, 101, "assistant", "b"), (2, 0, "user", "c"), (2, 1, "assistant", "d")]
+    made = R.pairs_from_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert made.select("id").distinct().count() == 2
+
+
+def test_csv_ids_are_numbers(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id,fr,en\n10,a,b\n9,c,d\n")
+    made = R.read_parallel(spark, str(path), "csv", languages={"fr": "fr", "en": "en"})
+    assert dict(made.dtypes)["id"] == "bigint"
