@@ -27,3 +27,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.select("node", "label")
         if moved.filter("label <> old").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links: only the graph of the components that they join is solved."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    alone = ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    known = write_shared(labels.unionByName(alone), "labels")
+    named = links.join(known.toDF("a", "_a"), "a").join(known.toDF("b", "_b"), "b")
+    joined = write_shared(named.filter("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), "joined")
+    if joined.isEmpty():
+        return known
+    smaller = components(joined).toDF("label", "_to")
+    return known.join(smaller, "label", "left").select("node", F.coalesce("_to", "label").alias("label"))

@@ -16,7 +16,7 @@
 
 What is guaranteed: links are exact, as they are confirmed on full sets. A pair
 at the threshold 0.8 shares no band with probability 1.3e-7, and its estimate is
-cut off (below 0.5) with probability under 1e-9; both fall quickly above it.
+cut off (below 0.6) with probability under 1e-8; both fall quickly above it.
 
 Skew: a bucket's pivot is a minimum that is combined before the shuffle; joins
 with pivots have one row per key on that side and can be split; a group of many
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seqprep.llm.common import worker_cache
-from seqprep.llm.components import components
+from seqprep.llm.components import components, merged
 from seqprep.llm.shingles import Shingler, blocks, common, mix
 from seqprep.session import write_shared
 
@@ -48,9 +48,11 @@ SAMPLES = BANDS * ROWS
 SKETCH_LONGS = 8
 SKETCH_BITS = 64 * SKETCH_LONGS
 #: Pairs whose estimated similarity is below this are not confirmed.
-LEAST_ESTIMATE = 0.5
+LEAST_ESTIMATE = 0.6
 #: A bucket of at most this many classes gives all its pairs.
 SMALL = 32
+#: Larger buckets of the first bands give pairs with a pivot; near copies share most bands, so a few do.
+PIVOT_BANDS = 12
 #: Pairs across its largest component that a crowded bucket may give; beyond, it is dealt again, so many times.
 LIGHT, DEEPEST = 250_000, 4
 
@@ -142,10 +144,10 @@ def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
-    """``members``: key, node, group, size. Pairs of different groups: all of a small bucket, with the pivot of a large one."""
+    """``members``: key, node, group, size, band. Pairs of different groups: all of a small bucket, with the pivot of a large one."""
     few = members.filter(F.col("size") <= small).select("key", "node", "group")
     every = few.toDF("key", "a", "_ga").join(few.toDF("key", "b", "_gb"), "key").filter("a < b and _ga <> _gb").select("a", "b")
-    many = members.filter(F.col("size") > small)
+    many = members.filter((F.col("size") > small) & (F.col("band") < PIVOT_BANDS))
     order = F.xxhash64("key", "node")
     pivots = many.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "group")).alias("p")).select("key", "p.node", "p.group")
     star = many.select("key", F.col("node").alias("a"), F.col("group").alias("_ga")).join(pivots.toDF("key", "b", "_gb"), "key")
@@ -153,7 +155,7 @@ def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
 
 
 def sized(rows: DataFrame, label: str) -> DataFrame:
-    """``key, node, group, used`` with the bucket's size, buckets with more than one group only."""
+    """``key, node, group, used, band`` with the bucket's size, buckets with more than one group only."""
     found = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("group").alias("_lo"), F.max("group").alias("_hi"))
     mixed = found.filter("_lo <> _hi").select("key", "size")
     return write_shared(rows.join(mixed, "key"), label)
@@ -167,17 +169,36 @@ def with_outsiders(crowded: DataFrame) -> DataFrame:
     return crowded.join(told, "key")
 
 
-def outsider_pairs(members: DataFrame) -> DataFrame:
-    """Every pair of different groups in a bucket, by way of the members outside its largest group."""
-    outside = members.filter("group <> main").select("key", F.col("node").alias("a"), F.col("group").alias("_ga"))
-    every = members.select("key", F.col("node").alias("b"), F.col("group").alias("_gb"))
-    return outside.join(every, "key").filter("_ga <> _gb").select("a", "b")
+def outsider_stars(members: DataFrame) -> DataFrame:
+    """Each member outside its bucket's largest group with a pivot of that group."""
+    outside = members.filter("group <> main").select("key", F.col("node").alias("a"))
+    order = F.xxhash64("key", "node")
+    pivots = members.filter("group = main").groupBy("key").agg(F.min(F.struct(order.alias("o"), "node")).alias("p"))
+    return outside.join(pivots.select("key", F.col("p.node").alias("b")), "key").select("a", "b")
+
+
+def outsider_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every pair of different groups that shares a bucket and that the odd sketches let pass, once.
+
+    One side is outside the bucket's largest group; the sketches and the pair's
+    first common bucket are looked at inside the join, so a pair is made once.
+    """
+    own = members.groupBy("node").agg(F.collect_set("key").alias("keys")).join(nodes.select("node", "sketch"), "node")
+    full = members.join(own, "node")
+    columns = ["key", "node", "group", "keys", "sketch"]
+    outside = full.filter("group <> main").select(*columns).toDF("key", "a", "_ga", "_ka", "_sa")
+    every = full.select(*columns, (F.col("group") == F.col("main")).alias("_in")).toDF("_key", "b", "_gb", "_kb", "_sb", "_in")
+    once = (F.col("key") == F.col("_key")) & (F.col("_ga") != F.col("_gb")) & (F.col("_in") | (F.col("a") < F.col("b")))
+    first = F.array_min(F.array_intersect("_ka", "_kb")) == F.col("key")
+    alike = differing(F.col("_sa"), F.col("_sb")) <= most_differing_bits()
+    met = outside.join(every, once & alike & first)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def regrouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``key, node`` with the component of the node as group."""
     known = labels.select("node", F.col("label").alias("group"))
-    return rows.join(known, "node", "left").select("key", "node", "used", F.coalesce("group", "node").alias("group"))
+    return rows.select("key", "node", "used", "band").join(known, "node", "left").select("*", F.coalesce("group", "node").alias("_g")).drop("group").withColumnRenamed("_g", "group")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -223,42 +244,44 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80, small: i
         F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     nodes = write_shared(classes.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
-    keyed = nodes.select("node", F.explode("bands").alias("key"), F.col("node").alias("group")).withColumn("used", F.array("key"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"), F.col("node").alias("group")).withColumn("used", F.array("key"))
     members = sized(keyed, "buckets")
 
     pairs = write_shared(estimated(bucket_pairs(members, small), nodes), "pairs")
-    crowded = members.filter(F.col("size") > small).select("key", "node", "used")
+    crowded = members.filter(F.col("size") > small).select("key", "node", "used", "band")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     sets = write_shared(full_sets(docs, nodes, wanted, width), "sets")
 
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "bits").union(pairs.select("b", "a", "b", "bits"))
     best = ends.groupBy("node").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     links = write_shared(confirmed(best, sets, percent), "links")
-    labels, depth = components(links), 1
+    labels, depth, last = components(links), 1, best
 
     while True:
-        # Pairs between different components that have not been tried, and buckets that still mix components.
+        # Pairs between different components that have not been tried; members outside a crowded bucket's largest component with a pivot of it.
+        mixed = with_outsiders(sized(regrouped(crowded, labels), "crowded"))
         own = labels.select("node", "label")
         rest = pairs.join(own.toDF("a", "_la"), "a", "left").join(own.toDF("b", "_lb"), "b", "left")
-        rest = rest.filter(F.coalesce("_la", "a") != F.coalesce("_lb", "b")).join(best, ["a", "b"], "left_anti").select("a", "b")
-        links = write_shared(links.unionByName(confirmed(rest, sets, percent)), "links")
-        labels = components(links)
-        crowded = sized(regrouped(crowded, labels), "crowded")
+        rest = rest.filter(F.coalesce("_la", "a") != F.coalesce("_lb", "b")).join(last, ["a", "b"], "left_anti").select("a", "b")
+        stars = estimated(outsider_stars(mixed), nodes).select("a", "b")
+        tried = write_shared(confirmed(rest.union(stars).distinct(), sets, percent), "links")
+        labels = write_shared(merged(labels, tried), "labels")
+        # Those that are still outside, with every member; should that be very many pairs, deal the members again by a further band.
+        mixed = with_outsiders(sized(regrouped(crowded, labels), "crowded"))
+        light = F.col("across") <= (LIGHT if depth < DEEPEST else 2**62)
+        tried = write_shared(confirmed(outsider_pairs(mixed.filter(light), nodes), sets, percent), "links")
+        labels = write_shared(merged(labels, tried), "labels")
+        crowded = write_shared(mixed.filter(~light).select("key", "node", "used", "band"), "crowded")
         if crowded.isEmpty():
             break
-        # Few pairs across the largest component: try them. Else deal the members again, by each of their other band values.
         depth += 1
-        crowded = with_outsiders(crowded)
-        light = F.col("across") <= (LIGHT if depth < DEEPEST else 2**62)
-        across = outsider_pairs(crowded.filter(light))
-        crowded = crowded.filter(~light)
         bands = nodes.select("node", F.explode("bands").alias("_more"))
-        further = crowded.join(bands, "node").filter(~F.array_contains("used", F.col("_more")))
-        further = further.select("node", "group", F.array_sort(F.array_append("used", F.col("_more"))).alias("used"))
-        members = sized(further.select(F.xxhash64("used").alias("key"), "node", "group", "used").distinct(), "buckets")
-        pairs = write_shared(estimated(bucket_pairs(members, small).unionByName(across), nodes), "pairs")
-        best = pairs.select("a", "b").limit(0)
-        crowded = members.filter(F.col("size") > small).select("key", "node", "used")
+        further = regrouped(crowded, labels).join(bands, "node").filter(~F.array_contains("used", F.col("_more")))
+        further = further.select("node", "group", F.array_sort(F.array_append("used", F.col("_more"))).alias("used"), F.lit(0).alias("band"))
+        members = sized(further.select(F.xxhash64("used").alias("key"), "node", "group", "used", "band").distinct(), "buckets")
+        pairs = write_shared(estimated(bucket_pairs(members, small), nodes), "pairs")
+        last = pairs.select("a", "b").limit(0)
+        crowded = members.filter(F.col("size") > small).select("key", "node", "used", "band")
 
     named = labels.join(nodes.select("node", "first_id"), "node")
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
