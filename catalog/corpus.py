@@ -90,7 +90,7 @@ def get_subset_tiny_fraction(spark, sf_dir):
     WHERE rn <= least(greatest(trunc(total * 0.25::DOUBLE), 1), total)"""
 )
 def subset_of_both_splits(spark, sf_dir):
-    return selected_pairs(pairs(spark, sf_dir), PrepOptions())
+    return selected_pairs(pairs(spark, sf_dir), PrepOptions(dataset_fraction=0.25))
 
 
 @query(

@@ -11,7 +11,7 @@ from seqprep.functions import arrays as A
 from seqprep.functions.text import normalize, words
 from seqprep.operators import metrics as M
 from seqprep.operators.guards import has_nan as nan_check
-from seqprep.plans.evaluate import evaluate_scores as score_report
+from seqprep.plans.evaluate import evaluate_scores as score_report, evaluation_report as full_report
 
 # The reference is the normalised text; the prediction lacks every seventh word
 # and is blank for every fiftieth document.
@@ -247,3 +247,31 @@ def evaluate_scores_with_nan(spark, sf_dir):
         "logits", lambda x, i: F.when((F.col("id") % 7 == 0) & (i == 5), F.lit(float("nan"))).otherwise(x)
     )
     return score_report(scores(spark, sf_dir).withColumn("logits", broken), vocab)
+
+
+_ZEROS = "CASE WHEN count(*) > 0 THEN 0.0::DOUBLE END AS bleu, 0.0::DOUBLE AS gen_len, 0.0::DOUBLE AS bp"
+
+
+@query(f"SELECT {_ZEROS} FROM embeddings")
+def evaluate_scores_with_null(spark, sf_dir):
+    """A missing score array or score makes the scores as unusable as a NaN."""
+    _, vocab = clean_and_vocab(spark, sf_dir)
+    holed = F.transform("logits", lambda x, i: F.when((F.col("id") % 7 == 0) & (i == 5), F.lit(None)).otherwise(x))
+    missing = F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(holed)
+    return score_report(scores(spark, sf_dir).withColumn("logits", missing), vocab)
+
+
+@query(
+    f"""WITH {_TOKENS},
+        pair AS (SELECT id, {Q.tok13a('prediction')} AS h, {Q.tok13a('reference')} AS r FROM texts
+                 WHERE prediction <> '' AND reference <> ''), {Q.ngram_sums('h', 'r')}
+        SELECT round({Q.BLEU}, 4) AS bleu, (SELECT round(avg(len({Q.words('prediction')})), 4) FROM texts) AS gen_len,
+               round({Q.BREVITY}, 4) AS bp,
+               (SELECT round(avg(ln(list_sum(list_transform(embedding::DOUBLE[], lambda x: exp(x)))) - embedding[label + 1]::DOUBLE), 6)
+                FROM embeddings WHERE label <> 0) AS eval_loss
+        FROM sums"""
+)
+def evaluation_report(spark, sf_dir):
+    """Text metrics and loss together."""
+    _, vocab = clean_and_vocab(spark, sf_dir)
+    return full_report(scores(spark, sf_dir), vocab).withColumn("eval_loss", F.round("eval_loss", 6))
