@@ -74,12 +74,15 @@ def test_plan_uses_patterns_and_wastes_little():
 
 
 def test_encoder_equals_the_library():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     encoder = packing.Encoder("byte_bpe_50k.json")
     rng = random.Random(4)
-    parts = [*" \n.,ab'%1ß", "'ll", " the", " thn.", "中", " b", "\t", " ", "<|endoftext|>", "  "]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(5000)]
-    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert encoder.encode(texts) == want
+    parts = [*" \n.,ab'%1ß", "'ll", " the", " thn.", "中", " b", "\t", "\x85", "\u3000", "<|endoftext|>", "  "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    texts += [f"a{chr(k)} {chr(k)}b1{chr(k)}" for k in range(1, 0x30000) if not 0xD800 <= k < 0xE000]
+    texts += ["x" * 20_000, " " * 3000 + "y", "ab" * 5000]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [encoder.encode(t) for t in texts] == want
 
 
 # --- near-duplicates ------------------------------------------------------------
