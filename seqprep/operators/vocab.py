@@ -85,6 +85,16 @@ def vocab_fingerprint(vocab: DataFrame) -> str:
     return f"{row['n']}-{row['h'] & 0xFFFFFFFFFFFFFFFF:016x}"
 
 
+def write_vocab(vocab: DataFrame, path: str) -> None:
+    """Store a vocabulary, so that ids can be decoded later."""
+    vocab.select("token", "token_id", "freq").write.mode("overwrite").parquet(path)
+
+
+def read_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """A stored vocabulary."""
+    return spark.read.schema(VOCAB_SCHEMA).parquet(path)
+
+
 def first_token_id(df: DataFrame, col: str, vocab: DataFrame, **bounds: int) -> DataFrame:
     """Rows of ``df`` with the id of their first word; unknown words drop out.
 

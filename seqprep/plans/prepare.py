@@ -8,7 +8,7 @@ from seqprep.functions.text import normalize
 from seqprep.operators.encode import encode_pairs, select_pair
 from seqprep.operators.guards import require_columns
 from seqprep.operators.sampling import max_samples, subset_predicate
-from seqprep.operators.vocab import build_vocab, vocab_fingerprint
+from seqprep.operators.vocab import build_vocab, read_vocab, vocab_fingerprint, write_vocab
 from seqprep.options import PrepOptions
 from seqprep.sources.parallel import eval_split_name
 from seqprep.sources.processed import load_or_prepare
@@ -51,9 +51,27 @@ def prepare(raw: DataFrame, opts: PrepOptions = PrepOptions(), vocab: DataFrame
     return encode_pairs(pairs, vocab, opts), vocab
 
 
+def input_fingerprint(raw: DataFrame) -> str:
+    """A value that changes when any row of the input does; one pass of partial sums."""
+    row = raw.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64(F.to_json(F.struct("*")))), F.lit(0)).alias("h")).head()
+    return f"{row['n']}-{row['h'] & 0xFFFFFFFFFFFFFFFF:016x}"
+
+
 def prepare_cached(
     spark: SparkSession, raw: DataFrame, root: str, opts: PrepOptions = PrepOptions(), vocab: DataFrame | None = None
-) -> DataFrame:
-    """``prepare`` behind the processed-set cache."""
-    fingerprint = "" if vocab is None else vocab_fingerprint(vocab)
-    return load_or_prepare(spark, opts, root, lambda: prepare(raw, opts, vocab)[0], fingerprint)
+) -> tuple[DataFrame, DataFrame]:
+    """``prepare`` behind the processed-set cache: the rows and their vocabulary.
+
+    The vocabulary is stored beside the set. A set is reused only for the same
+    options, the same given vocabulary and the same input rows.
+    """
+    words = f"{root.rstrip('/')}/{opts.cache_key}/vocabulary"
+    given = "" if vocab is None else vocab_fingerprint(vocab)
+
+    def build() -> DataFrame:
+        encoded, used = prepare(raw, opts, vocab)
+        write_vocab(used, words)
+        return encoded
+
+    rows = load_or_prepare(spark, opts, root, build, f"{given};{input_fingerprint(raw)}")
+    return rows, read_vocab(spark, words)

@@ -107,7 +107,11 @@ def test_an_interrupted_write_is_not_reused(spark, raw, tmp_path):
     with pytest.raises(Exception, match="lost"):
         P.write_processed(broken, root, opts.cache_key)
     assert P.read_manifest(spark, root, opts.cache_key) == {}
-    assert prepare_cached(spark, raw, root, opts).count() == 200
+    rows, vocab = prepare_cached(spark, raw, root, opts)
+    assert rows.count() == 200 and vocab.count() > 4
+    again, same = prepare_cached(spark, raw, root, opts)
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, vocab.collect()))
+    assert prepare_cached(spark, raw.filter("id <> 5"), root, opts)[0].count() == 199
 
 
 def test_cache_needs_both_splits(spark, raw, tmp_path):
