@@ -47,18 +47,19 @@ _WORD = r"[^\x20\x09-\x0D]+"
 @query(
     rf"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-    base AS (
+    base AS MATERIALIZED (
         SELECT doc_id, t, regexp_extract_all(t, '{_WORD}') AS ws, string_split(t, chr(10)) AS ls,
                length(regexp_replace(t, '{_SPACE}', '', 'g'))::BIGINT AS word_chars,
                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols
         FROM d),
-    pos AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM base),
-    tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM pos),
+    pos AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM base),
+    win AS (SELECT doc_id, i, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c FROM pos WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM win WHERE c IS NOT NULL),
     rep AS (
         SELECT doc_id, count(DISTINCT p) AS n_repeat_words
         FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM tri WHERE n >= 2) GROUP BY doc_id),
     line AS (SELECT doc_id, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS i FROM base),
-    own AS (
+    own AS MATERIALIZED (
         SELECT *, regexp_extract_all(l, '{_WORD}') AS lw, row_number() OVER (PARTITION BY doc_id, l ORDER BY i) > 1 AS again,
                length(regexp_replace(l, '{_SPACE}', '', 'g'))::BIGINT AS chars,
                length(l) - length(replace(l, '|', '')) AS pipes,
