@@ -20,6 +20,14 @@ RECOMMENDED = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set the recommended settings on a session of your own (all can change at run time)."""
+    for name, value in RECOMMENDED.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 

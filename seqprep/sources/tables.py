@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqprep.operators.sampling import Key, _keys, head_rows
+from seqprep.session import write_shared
 
 
 def read_vectors(
@@ -32,11 +33,11 @@ def failed_metrics(spark: SparkSession, names: tuple[str, ...] = ("bleu", "gen_l
 def sample_report(src: DataFrame, ref: DataFrame, pred: DataFrame, n: int = 5, key: Key = "id") -> DataFrame:
     """Source, reference and prediction of the first ``n`` rows side by side.
 
-    The rows are picked first; only those few keys are then looked up in the
-    other two tables, so neither is shuffled.
+    The rows are picked first and written once; only those few keys are then
+    looked up in the other two tables, so neither is shuffled.
     """
     keys = _keys(key)
-    first = head_rows(src, n, keys)
+    first = write_shared(head_rows(src, n, keys), "sample")
     wanted = F.broadcast(first.select(*keys))  # n rows
-    found = [F.broadcast(other.join(wanted, keys)) for other in (ref, pred)]
+    found = [other.join(wanted, keys) for other in (ref, pred)]
     return first.join(found[0], keys, "left").join(found[1], keys, "left")
