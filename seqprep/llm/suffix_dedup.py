@@ -6,8 +6,8 @@ byte that a repeated window covers is removed.
 
 1. Each window has an anchor: the smallest hash of its 32-byte strings, leftmost.
    Runs of windows with one anchor are segments. Equal windows have equal anchors, so
-   only segments with one anchor need comparing. Equal segments of an Arrow batch
-   are combined before the shuffle: all but the first are repeats as they stand.
+   only segments with one anchor need comparing. Equal segments of a batch of
+   documents are combined before the shuffle: all but the first are repeats as they stand.
 2. Segments meet by anchor, in order. Of equal segments all but the first are
    repeats. Anchors with one segment need nothing more; nine tenths of a corpus
    end here, as hashes. Different segments with one anchor are open.
@@ -44,7 +44,9 @@ WINDOW = 100
 GRAM = 32
 GRAMS = WINDOW - GRAM + 1
 #: Bytes hashed at a time, and bytes of a shard's suffix array.
-BLOCK, SHARD = 1 << 19, 1 << 22
+BLOCK, SHARD = 1 << 19, 1 << 20
+#: Documents whose segments are combined, and documents whose bytes are fetched at a time.
+COMBINED, FETCHED = 2500, 500
 #: Open segments of an anchor in one shard.
 CROWD = 2000
 
@@ -110,6 +112,13 @@ NAMES = ["anchor", "segment", "doc_id", "tie", "start", "windows"]
 ROWS = "anchor long, segment long, doc_id long, tie long, start long, windows long"
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that what a step builds from a batch stays small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names)
 
@@ -128,10 +137,10 @@ def joined_runs(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, windows: np
 
 
 def corpus_segments(docs: DataFrame) -> DataFrame:
-    """Segments of all documents; those that repeat within their batch have segment 0 and windows below 0."""
+    """Segments of all documents; those that repeat within their batch of documents have segment 0 and windows below 0."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, COMBINED):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
             doc_ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             anchor, hashed, text, start, windows = segments(b"".join(texts), np.cumsum([len(t) for t in texts], dtype=np.int64))
@@ -227,7 +236,7 @@ def with_bytes(open_segments: DataFrame, docs: DataFrame) -> DataFrame:
         import zstandard
 
         press = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in parts_of(batches, FETCHED):
             rows = []
             for doc_id, tie, packed, own in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 raw = press.decompress(packed)
@@ -354,7 +363,7 @@ def removal(docs: DataFrame, repeats: DataFrame, keep_text: bool = False) -> Dat
         import zstandard
 
         press = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in parts_of(batches, FETCHED):
             rows = []
             for doc_id, packed, own in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 raw = press.decompress(packed)
