@@ -85,6 +85,22 @@ def test_encoder_equals_the_library():
     assert [encoder.encode(t) for t in texts] == want
 
 
+def test_encoder_takes_very_long_white_space(monkeypatch):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+    def check(encoder, texts):
+        for text in texts:
+            assert encoder.encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    runs = [" " * 1_100_000, "\n" * 1_100_000, "\t" * 1_100_000, " \n" * 600_000]
+    check(packing.Encoder("byte_bpe_50k.json"), ["a" + run + end for run in runs for end in ("", "b c")])
+    # Every kind of neighbour, with the cut at short runs.
+    monkeypatch.setattr(packing, "LONG_RUN", 3)
+    rng = random.Random(6)
+    parts = [*" \n\t.a1'", "'ll", " the", "    ", "\n\n\n", "  \n", "\x1c", "\x85", "\u3000", "<|endoftext|>", "<|end", "\u0301"]
+    check(packing.Encoder("byte_bpe_50k.json"), ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)])
+
+
 # --- near-duplicates ------------------------------------------------------------
 
 
