@@ -1,5 +1,6 @@
 """Operators that look at one text at a time."""
 
+import functools
 import hashlib
 import random
 import re
@@ -162,3 +163,172 @@ def test_licence_rules():
     assert recogniser.licences(["BSD_grant", "BSD_source", "BSD_binary", "MIT_ref"])[0] == ["BSD-2-Clause", "MIT"]
     begin, end = recogniser.sentences("  \n Released under the MIT License.")[0][1:]
     assert "  \n Released under the MIT License."[begin:end] == "Released under the MIT License"
+
+
+@functools.cache
+def recogniser():
+    return licenses.Recogniser()
+
+
+def scanned(text):
+    taken, left = recogniser().licences([i for i, _, _ in recogniser().sentences(text)])
+    return sorted(set(taken)), left
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GNU = """{program}{mark} you can redistribute it and/or modify
+it under the terms of the GNU {kind}General Public License as published by
+the Free Software Foundation{stop} either version {version} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {kind}General Public License for more details.
+
+You should have received a copy of the GNU {kind}General Public License
+along with {name}.  If not, see <https://www.gnu.org/licenses/>.
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{1} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{2}
+THIS SOFTWARE IS PROVIDED BY {3} "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL {3} BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ENDORSE = """3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+"""
+BOOST = """Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including
+the above license grant, this restriction and the following disclaimer,
+must be included in all copies of the Software, in whole or in part, and
+all derivative works of the Software, unless such copies or derivative
+works are solely in the form of machine-executable object code generated by
+a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT
+SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE
+FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+HOLDERS = ("the copyright holder", "Google Inc.", "the University of California, Berkeley", "Universität Zürich")
+NOTICES = [
+    (APACHE, "Apache-2.0"), (MIT, "MIT"), (ZLIB, "Zlib"), (BOOST, "BSL-1.0"), (MPL, "MPL-2.0"), (ISC, "ISC"),
+    ("Foo B.V. licenses this file to you" + APACHE.removeprefix("Licensed"), "Apache-2.0"),
+    (ISC[: ISC.index(", provided")].replace("\n", " ") + ".\n" + ISC[ISC.index("\n\n") :], "0BSD"),
+    *((BSD.format("1.", "2.", "", h.upper()), "BSD-2-Clause") for h in HOLDERS),
+    *((BSD.format("(a)", "(b)", ENDORSE.format(h), h), "BSD-3-Clause") for h in HOLDERS),
+    (BSD.format("1.", "2.", "3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n   This product includes software developed by the Foo Project.\n" + ENDORSE.format("Foo"), "FOO"), "BSD-4-Clause"),
+    *(
+        (GNU.format(program=program, name=name, mark=mark, kind=kind, stop=stop, version=version), f"{short}-{version}")
+        for short, kind, version in (("GPL", "", "2"), ("GPL", "", "3"), ("LGPL", "Lesser ", "2.1"), ("LGPL", "Library ", "2"), ("LGPL", "Lesser ", "3"), ("AGPL", "Affero ", "3"))
+        for program, name in (("This program is free software", "this program"), ("GNU Foo is free software", "GNU Foo")) for mark in ":;" for stop in ",;"
+    ),
+]
+
+
+@pytest.mark.parametrize("comment", ["", " * ", "# ", "// "])
+def test_public_licence_notices(comment):
+    for text, name in NOTICES:
+        text = "".join(comment + line + "\n" for line in ["Copyright (c) 2020 Somebody", "", *text.splitlines()])
+        assert scanned(text) == ([name], []), text
+
+
+def test_sentences_of_other_licences_are_not_taken():
+    assert scanned(ISC[: ISC.index(" provided")] + "\nprovided that the above copyright notice appears in all copies and supporting documentation.") == ([], [])
+    assert scanned(GNU.format(program="Foo", name="Foo", mark=":", kind="", stop=",", version="9"))[0] == []
+
+
+def test_spdx_lines():
+    for line, names in (
+        ("MIT", ["MIT"]), ("Apache-2.0 OR MIT */", ["Apache-2.0", "MIT"]), ("GPL-2.0-or-later", ["GPL-2"]), ("GPL-2.0+ -->", ["GPL-2"]),
+        ("(LGPL-2.1-only WITH Linux-syscall-note) AND BSD-3-Clause", ["BSD-3-Clause", "LGPL-2.1"]), ("MIT, as in Ruby or Python-2.0", ["MIT"]), ("unknown", []),
+    ):
+        assert scanned(f"x\n// SPDX-License-Identifier: {line}\nmit isc") == (names, [])
+    text = "# SPDX-License-Identifier: MIT OR ISC"
+    assert [text[a:b] for _, a, b in recogniser().sentences(text)] == ["SPDX-License-Identifier: MIT", "ISC"]
