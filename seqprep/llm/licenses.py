@@ -305,7 +305,8 @@ class Recogniser:
         if not any(stem in low for stem in STEMS):
             return []
         cuts = [(m.start(), m.end(), m.group() != "\n") for m in _ends.finditer(text)] + [(len(text), len(text), True)]
-        parts = [_words.findall(low[a:b]) for a, b in zip([0, *(c[1] for c in cuts)], (c[0] for c in cuts))]
+        # Lower case can be longer than the text, so the words are those of each slice.
+        parts = [_words.findall(text[a:b].lower()) for a, b in zip([0, *(c[1] for c in cuts)], (c[0] for c in cuts))]
         found, begin, k = spdx_names(text), 0, 0
         while k < len(cuts):
             if mark := _mark.match(text, begin, cuts[k][0]):

@@ -332,3 +332,8 @@ def test_spdx_lines():
         assert scanned(f"x\n// SPDX-License-Identifier: {line}\nmit isc") == (names, [])
     text = "# SPDX-License-Identifier: MIT OR ISC"
     assert [text[a:b] for _, a, b in recogniser().sentences(text)] == ["SPDX-License-Identifier: MIT", "ISC"]
+
+
+def test_licences_after_letters_that_grow_in_lower_case():
+    text = "İstanbul İİ.\nReleased under the MIT License."
+    assert [(i, text[a:b]) for i, a, b in recogniser().sentences(text)] == [("MIT_ref", "Released under the MIT License")]
