@@ -101,7 +101,7 @@ def pca_project(spark, sf_dir):
 def labelled_projection(spark, sf_dir):
     """Vectors laid out as (text, position), labelled with the token there."""
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    labels = token_labels(encode(docs, "text", vocab, max_len=10), "ids", vocab).select("id", "pos", "token")
+    labels = token_labels(encode(docs, "text", vocab, add_special=False), "ids", vocab).select("id", "pos", "token")
     points = table(spark, sf_dir, "embeddings").select(
         F.floor(F.col("vec_id") / 10).alias("id"), (F.col("vec_id") % 10).cast("int").alias("pos"), "embedding"
     )

@@ -48,3 +48,13 @@ def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["id", "split", "input_ids", "attention_mask", "labels"]
     assert df.count() > 0
+
+
+def test_labelled_projection_labels_every_position_with_its_word(spark):
+    from catalog.encoding import clean
+
+    words = {r.id: (r.text or "").split() for r in clean(spark, SF_SMALL).select("id", "text").collect()}
+    vectors = [r.vec_id for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id").collect()]
+    want = {(v // 10, v % 10): words[v // 10][v % 10] for v in vectors if v % 10 < len(words.get(v // 10, ()))}
+    got = {(r.id, r.pos): r.token for r in QUERIES["labelled_projection"](spark, SF_SMALL).collect()}
+    assert got == want and any(pos == 9 for _, pos in got)
