@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqprep.llm import chat, decontaminate, licenses, line_rules, near_dedup, packing, quality, secret_scan, suffix_dedup, token_counts
+from seqprep.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    licenses,
+    line_rules,
+    near_dedup,
+    packing,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+    whitening,
+)
 from seqprep.llm.registry import query, table
 
 # --- 5: chat formatting -------------------------------------------------------
@@ -163,3 +177,66 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+# --- 11: source divergence audit -----------------------------------------------------
+
+
+def _share_sql(count: str, n: str) -> str:
+    return f"(1 + (1000000000::HUGEINT * ({count} + 5)) // ({n} + 5 * v))::BIGINT"
+
+
+@query(
+    rf"""
+    WITH d AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+        FROM documents),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    k AS (
+        SELECT lang, term FROM (SELECT lang, unnest(list_distinct(ws)) AS term FROM d)
+        GROUP BY lang, term HAVING count(*) >= 30),
+    v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+    tf AS (
+        SELECT lang, source, term, count(*) AS c FROM (SELECT lang, source, unnest(ws) AS term FROM d) SEMI JOIN k USING (lang, term)
+        GROUP BY lang, source, term),
+    own AS (
+        SELECT lang, source, term, coalesce(c, 0) AS c, v, coalesce(sum(c) OVER (PARTITION BY lang, source), 0) AS n
+        FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN tf USING (lang, source, term)),
+    whole AS (
+        SELECT lang, term, c, v, sum(c) OVER (PARTITION BY lang) AS n
+        FROM (SELECT lang, term, sum(c) AS c FROM tf GROUP BY lang, term) JOIN v USING (lang)),
+    p AS (SELECT lang, source, term, c, {_share_sql("c", "n")} AS p FROM own),
+    q AS (SELECT lang, term, {_share_sql("c", "n")} AS q FROM whole),
+    apart AS (
+        SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+        FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+    found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+    SELECT * FROM (
+        SELECT lang, source, part, item, value,
+               row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+        FROM found)
+    WHERE part = 'pair' OR rank <= 50
+    """
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+# --- 12, 13 ---------------------------------------------------------------------------
+
+
+@query()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
