@@ -13,6 +13,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from seqprep.functions.hashing import row_hash
 from seqprep.session import write_shared
 
 Key = str | Sequence[str]
@@ -168,23 +169,43 @@ def get_subset(df: DataFrame, fraction: float, seed: int = 42, key: Key = "id")
 def max_samples(df: DataFrame, n: int | None, key: Key = "id") -> DataFrame:
     """The first ``n`` rows by key, exactly; None keeps all.
 
-    Only the keys are sorted. The rows are cut by a filter on the n-th key; of
-    rows that share it, the ones with the lowest row hash fill up the number.
+    Rows that share the n-th key are taken in the order of their contents' hash
+    (any column type); rows with equal contents are interchangeable, and as many
+    of them as are still wanted are made from one. Only keys and hashes are
+    sorted; the rows are cut by filters, whatever n is, and none is shuffled.
     """
     if n is None:
         return df
     if n <= 0:
         return df.limit(0)
     keys = _keys(key)
-    indexed = sorted_index(df.select(*keys), keys, "_idx")
-    last = indexed.filter(F.col("_idx") == n - 1).head()
-    if last is None:
+    found = _nth(df.select(*keys), keys, n)
+    if found is None:
         return df
-    own = F.struct(*keys)
+    last, before = found
     edge = F.struct(*[F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in keys])
-    before = indexed.filter(F.struct(*keys) < edge).count()
-    tied = df.filter(own == edge).orderBy(F.xxhash64(*df.columns)).limit(n - before)
-    return df.filter(own < edge).unionByName(tied)
+    own, tied = F.struct(*keys), df.filter(F.struct(*keys) == edge)
+    hashes = [row_hash(tied, seed) for seed in (1, 2)]
+    marked = tied.select(*[h.alias(f"_h{i}") for i, h in enumerate(hashes)])
+    found = _nth(marked, marked.columns, n - before)
+    if found is None:
+        return df.filter(own <= edge)
+    last, ahead = found
+    place = F.struct(*[h.alias(f"_h{i}") for i, h in enumerate(hashes)])
+    here = F.struct(*[F.lit(h).cast("long").alias(f"_h{i}") for i, h in enumerate(last)])
+    copies = F.explode(F.sequence(F.lit(1), F.lit(n - before - ahead).cast("long")))
+    equal = tied.filter(place == here).limit(1).withColumn("_copy", copies).repartition("_copy").drop("_copy")
+    return df.filter(own < edge).unionByName(tied.filter(place < here)).unionByName(equal)
+
+
+def _nth(rows: DataFrame, keys: Sequence[str], n: int):
+    """The n-th row by key (from 1) and the number of rows with a smaller key; None when there are fewer."""
+    indexed = sorted_index(rows, list(keys), "_idx")
+    last = indexed.filter(F.col("_idx") == n - 1).select(*keys).head()
+    if last is None:
+        return None
+    edge = F.struct(*[F.lit(last[k]).cast(rows.schema[k].dataType).alias(k) for k in keys])
+    return last, indexed.filter(F.struct(*keys) < edge).count()
 
 
 def head_rows(df: DataFrame, n: int = 5, key: Key = "id") -> DataFrame:

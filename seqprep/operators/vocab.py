@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from seqprep.functions.hashing import multiset_fingerprint
 from seqprep.functions.text import words
 from seqprep.operators.sampling import TOP_K_LIMIT, sorted_index
 from seqprep.options import BOS_ID, SPECIAL_TOKENS
@@ -79,10 +80,7 @@ def resolve_bos(vocab: DataFrame, default: int = BOS_ID) -> int:
 
 def vocab_fingerprint(vocab: DataFrame) -> str:
     """A value that changes when any token or id of the vocabulary does."""
-    row = vocab.agg(
-        F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("token", "token_id")), F.lit(0)).alias("h")
-    ).head()
-    return f"{row['n']}-{row['h'] & 0xFFFFFFFFFFFFFFFF:016x}"
+    return multiset_fingerprint(vocab.select("token", "token_id"))
 
 
 def write_vocab(vocab: DataFrame, path: str) -> None:

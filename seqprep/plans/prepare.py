@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from seqprep.functions.hashing import multiset_fingerprint
 from seqprep.functions.text import normalize
 from seqprep.operators.encode import encode_pairs, select_pair
 from seqprep.operators.guards import require_columns
-from seqprep.operators.sampling import max_samples, subset_predicate
+from seqprep.operators.sampling import get_subset, max_samples, subset_predicate
 from seqprep.operators.vocab import build_vocab, read_vocab, vocab_fingerprint, write_vocab
 from seqprep.options import PrepOptions
-from seqprep.sources.parallel import eval_split_name
+from seqprep.sources.incremental import Changes, IncrementalSet, row_options
+from seqprep.sources.parallel import eval_split_name, read_parallel
 from seqprep.sources.processed import load_or_prepare
 
 
@@ -51,19 +56,15 @@ def prepare(raw: DataFrame, opts: PrepOptions = PrepOptions(), vocab: DataFrame
     return encode_pairs(pairs, vocab, opts), vocab
 
 
-def input_fingerprint(raw: DataFrame) -> str:
-    """A value that changes when any row of the input does; one pass of partial sums."""
-    row = raw.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64(F.to_json(F.struct("*")))), F.lit(0)).alias("h")).head()
-    return f"{row['n']}-{row['h'] & 0xFFFFFFFFFFFFFFFF:016x}"
-
-
 def prepare_cached(
     spark: SparkSession, raw: DataFrame, root: str, opts: PrepOptions = PrepOptions(), vocab: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``prepare`` behind the processed-set cache: the rows and their vocabulary.
 
     The vocabulary is stored beside the set. A set is reused only for the same
-    options, the same given vocabulary and the same input rows.
+    options, the same given vocabulary and the same input rows, each as often as
+    before; telling that takes one pass over the rows. Input files that are added,
+    changed or dropped are cheaper to follow with ``prepare_incremental``.
     """
     words = f"{root.rstrip('/')}/{opts.cache_key}/vocabulary"
     given = "" if vocab is None else vocab_fingerprint(vocab)
@@ -73,5 +74,60 @@ def prepare_cached(
         write_vocab(used, words)
         return encoded
 
-    rows = load_or_prepare(spark, opts, root, build, f"{given};{input_fingerprint(raw)}")
+    rows = load_or_prepare(spark, opts, root, build, f"{given};{multiset_fingerprint(raw)}")
     return rows, read_vocab(spark, words)
+
+
+# --- following the input files ----------------------------------------------
+
+
+def encoded_choice(encoded: DataFrame, opts: PrepOptions) -> DataFrame:
+    """Train and evaluation rows of an encoded corpus: the splits, share and caps of ``selected_pairs``."""
+    names = {"train": "train", eval_split_name(encoded): "val"}
+    caps = {"train": opts.max_train_samples, "val": opts.max_eval_samples}
+    chosen = []
+    for name, new in names.items():
+        part = get_subset(encoded.filter(F.col("split") == name), opts.dataset_fraction, opts.seed)
+        chosen.append(max_samples(part, caps[new]).withColumn("split", F.lit(new)))
+    return chosen[0].unionByName(chosen[1])
+
+
+def prepare_incremental(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    opts: PrepOptions = PrepOptions(),
+    vocab: DataFrame | None = None,
+    refresh_vocab: bool = False,
+    **reading,
+) -> tuple[DataFrame, DataFrame, Changes]:
+    """Prepared rows of the corpus below ``path``, encoding only files that are new or changed.
+
+    All rows are encoded with a frozen vocabulary: the given one, or the one the
+    first run builds from its training rows (``refresh_vocab`` builds it again).
+    The share and the caps of ``opts`` choose among the encoded rows, exactly as
+    ``prepare`` does, so changing them encodes nothing. Another vocabulary or
+    another option that shows in a row encodes every file again. ``reading`` goes
+    to ``read_parallel``; formats without ids need an id column.
+    """
+    folder = f"{root.rstrip('/')}/{opts.cache_key}"
+    stored = IncrementalSet(spark, folder)
+    words = f"{folder}/vocabulary"
+    if vocab is None and stored.generation() and not refresh_vocab and not opts.overwrite_cache:
+        vocab = read_vocab(spark, words)
+    else:
+        vocab = corpus_vocab(selected_pairs(read_parallel(spark, path, **reading), opts), opts) if vocab is None else vocab
+        write_vocab(vocab, words)
+        vocab = read_vocab(spark, words)
+
+    def encode(files: Sequence[str] | None) -> DataFrame:
+        raw = read_parallel(spark, path, files=files, file_key=True, **reading)
+        require_columns(raw, ("id", "split", "translation"))
+        pairs = select_pair(raw, opts.source_lang, opts.target_lang, keep=("id", "split", "file"))
+        return encode_pairs(pairs, vocab, opts, keep=("split", "file"))
+
+    fingerprint = row_options(opts, vocab_fingerprint(vocab))
+    if opts.overwrite_cache:
+        fingerprint = f"{fingerprint} {uuid.uuid4().hex}"
+    changes = stored.update(path, encode, fingerprint)
+    return encoded_choice(stored.rows(), opts), vocab, changes
