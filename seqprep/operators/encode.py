@@ -8,6 +8,7 @@ frequent tokens still go that way and only the rare ones are joined.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from seqprep.functions import arrays as A
 from seqprep.functions.text import normalize, words
 from seqprep.operators.guards import ENCODED_COLUMNS
+from seqprep.operators.sampling import nth_largest
 from seqprep.options import EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID, PrepOptions
 from seqprep.session import write_shared
 
@@ -27,7 +29,7 @@ BROADCAST_BYTES = 64 << 20
 
 # Beyond them, so many of the most frequent elements of the column itself are
 # still resolved that way; any other holds less than one in this many positions.
-# An element longer than HOT_BYTES always takes the join.
+# Of an element longer than HOT_BYTES only a digest is sent.
 HOT_ELEMENTS = 50_000
 HOT_BYTES = 1_024
 
@@ -56,52 +58,107 @@ def _fits(table: DataFrame, max_rows: int, max_bytes: int) -> bool:
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def _broadcast_lookup(spark: SparkSession, entries: pa.Table, element: T.DataType, default: int | None, flags: bool):
+def _element_key(element: Column) -> Column:
+    """A string as it is, or its SHA-256 digest when it is long; the first letter tells which."""
+    short = F.octet_length(element) <= HOT_BYTES
+    return F.when(short, F.concat(F.lit("s"), element)).otherwise(F.concat(F.lit("l"), F.sha2(element.cast("binary"), 256)))
+
+
+class Lookup:
+    """A two-column table ready to be looked up in, for any number of data frames.
+
+    It is measured once. A table below both bounds is collected and sent to the
+    executors once; ``close`` frees it there. A larger one is joined.
+    """
+
+    def __init__(self, table: DataFrame, probe: str, value: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES):
+        self.table, self.probe, self.value = table, probe, value
+        self.element = table.schema[value].dataType
+        self.sent = None
+        if _fits(table, max_rows, max_bytes):
+            entries = table.select(probe, value).toArrow()
+            self.sent = _send(table.sparkSession, entries)
+
+    def close(self) -> None:
+        """Free the executors' copies; frames made with the lookup can't be computed any more."""
+        if self.sent is not None:
+            self.sent.destroy()
+            self.sent = None
+
+    def __enter__(self) -> Lookup:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
+
+
+def vocab_lookup(vocab: DataFrame, **bounds: int) -> Lookup:
+    """A vocabulary ready to encode any number of data frames."""
+    return Lookup(vocab, "token", "token_id", **bounds)
+
+
+def _send(spark: SparkSession, entries: pa.Table):
+    return spark.sparkContext.broadcast(tuple(entries.column(i).combine_chunks() for i in (0, 1)))
+
+
+def _broadcast_lookup(sent, element: T.DataType, default: int | None, hot: bool):
     """A Column function that replaces each array element by its table value.
 
-    ``entries`` has the elements in its first column and their values in the
-    second. With ``flags`` the result is a struct of the values ``v`` and, for
-    each of them, whether the table has the element (``known``).
+    ``sent`` holds the elements and their values. With ``hot`` it holds keys of
+    elements (``_element_key`` for text), NULL as the value of those without one,
+    and the result is a struct of the values ``v`` and, for each of them, whether
+    it is decided (``known``).
     """
-    sent = spark.sparkContext.broadcast(tuple(entries.column(i).combine_chunks() for i in (0, 1)))
     places: dict = {}  # filled once per task
     values_type = T.ArrayType(element)
     flagged = T.StructType([T.StructField("v", values_type), T.StructField("known", T.ArrayType(T.BooleanType()))])
+    longest = HOT_BYTES
+
+    def key(item):
+        if not isinstance(item, str):
+            return item
+        raw = item.encode()
+        return "s" + item if len(raw) <= longest else "l" + hashlib.sha256(raw).hexdigest()
 
-    @F.arrow_udf(flagged if flags else values_type)
+    @F.arrow_udf(flagged if hot else values_type)
     def lookup(column: pa.Array) -> pa.Array:
         keys, values = sent.value
         if not places:
-            places.update((key, i) for i, key in enumerate(keys.to_pylist()))
+            places.update((k, i) for i, k in enumerate(keys.to_pylist()))
         # Each distinct element of the batch is looked up once.
         coded = column.flatten().dictionary_encode()
-        place = pa.array([places.get(item) for item in coded.dictionary.to_pylist()], pa.int64())
-        found = values.take(place)
-        if default is not None:
+        items = coded.dictionary.to_pylist()
+        place = pa.array([places.get(key(item) if hot else item) for item in items], pa.int64())
+        found = values.take(place).take(coded.indices)
+        if default is not None:  # for NULL elements as well
             found = pc.fill_null(found, default)
         lengths = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-
-        def regrouped(per_distinct: pa.Array) -> pa.Array:
-            return pa.ListArray.from_arrays(offsets, per_distinct.take(coded.indices), mask=column.is_null())
-
-        if not flags:
-            return regrouped(found)
-        return pa.StructArray.from_arrays([regrouped(found), regrouped(place.is_valid())], ["v", "known"])
+        offsets, missing = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), column.is_null()
+        replaced = pa.ListArray.from_arrays(offsets, found, mask=missing)
+        if not hot:
+            return replaced
+        known = pc.fill_null(place.is_valid().take(coded.indices), True)
+        return pa.StructArray.from_arrays([replaced, pa.ListArray.from_arrays(offsets, known, mask=missing)], ["v", "known"])
 
     return lookup
 
 
 def _hot_entries(df: DataFrame, arrays: Sequence[str], known: DataFrame, n: int) -> pa.Table:
-    """The most frequent elements of the columns with their value, if any."""
-    nothing = F.array().cast(df.schema[arrays[0]].dataType)
+    """Keys of at most ``n`` of the most frequent elements of the columns, with their value, if any.
+
+    The frequency that at most ``n`` elements exceed is found by counting
+    frequencies; no task sorts or holds the elements of others.
+    """
+    kind = df.schema[arrays[0]].dataType
+    nothing = F.array().cast(kind)
     every = F.concat(*[F.coalesce(F.col(a), nothing) for a in arrays])
-    counts = df.select(F.explode(every).alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
-    short = counts.filter(F.octet_length(F.col("_hot").cast("string")) <= HOT_BYTES)
-    most = short.orderBy(F.desc("_n"), "_hot").limit(n).select("_hot").toArrow()
-    hot = df.sparkSession.createDataFrame(most)  # bounded by both limits
-    hits = known.join(F.broadcast(hot), F.col("_known") == F.col("_hot")).select("_hot", "_value")
-    return hot.join(F.broadcast(hits), "_hot", "left").toArrow()
+    keyed = _element_key if isinstance(kind.elementType, T.StringType) else lambda element: element
+    elements = df.select(F.explode(every).alias("_e")).filter("_e is not null")
+    counts = write_shared(elements.groupBy(keyed(F.col("_e")).alias("_hot")).agg(F.count("*").alias("_n")), "element-counts")
+    edge = nth_largest(counts, "_n", n + 1) if n else (float("inf"), 0)
+    hot = counts.select("_hot") if edge is None else counts.filter(F.col("_n") > edge[0]).select("_hot")
+    found = known.select(keyed(F.col("_known")).alias("_hot"), "_value")
+    return hot.join(found, "_hot", "left").toArrow()  # n rows at most
 
 
 def _joined_lookup(
@@ -120,9 +177,8 @@ def _joined_lookup(
     df, keys = write_shared(df.withColumn("_row", F.monotonically_increasing_id()), "tagged"), ["_row"]
     known = table.select(F.col(probe).alias("_known"), F.col(value).alias("_value"))
     element = table.schema[value].dataType
-    hot = _broadcast_lookup(
-        df.sparkSession, _hot_entries(df, list(arrays.values()), known, hot_elements), element, default, flags=True
-    )
+    entries = _hot_entries(df, list(arrays.values()), known, hot_elements)
+    hot = _broadcast_lookup(_send(df.sparkSession, entries), element, default, hot=True)
     resolved = df.withColumns({f"_r{i}": hot(F.col(items)) for i, items in enumerate(arrays.values())})
 
     sides = [
@@ -157,7 +213,7 @@ def _joined_lookup(
 def lookup_arrays(
     df: DataFrame,
     arrays: dict[str, str],
-    table: DataFrame,
+    table: DataFrame | Lookup,
     probe: str,
     value: str,
     default: int | None = None,
@@ -169,13 +225,17 @@ def lookup_arrays(
 
     ``arrays`` maps each new column to the array column it comes from.
     Elements that are not in the table become ``default``. The rows are the same
-    on both sides of the bounds, whatever their keys.
+    on both sides of the bounds, whatever their keys. A ``Lookup`` in place of the
+    table is not measured or sent again.
     """
-    if _fits(table, max_rows, max_bytes):
-        entries = table.select(probe, value).toArrow()
-        lookup = _broadcast_lookup(df.sparkSession, entries, table.schema[value].dataType, default, flags=False)
+    if not isinstance(table, Lookup):
+        table = Lookup(table, probe, value, max_rows, max_bytes)
+    if (table.probe, table.value) != (probe, value):
+        raise ValueError(f"the lookup gives {table.value!r} for {table.probe!r}, not {value!r} for {probe!r}")
+    if table.sent is not None:
+        lookup = _broadcast_lookup(table.sent, table.element, default, hot=False)
         return df.withColumns({new: lookup(F.col(old)) for new, old in arrays.items()})
-    return _joined_lookup(df, arrays, table, probe, value, default, HOT_ELEMENTS if hot_elements is None else hot_elements)
+    return _joined_lookup(df, arrays, table.table, probe, value, default, HOT_ELEMENTS if hot_elements is None else hot_elements)
 
 
 # --- encode ---------------------------------------------------------------
@@ -184,7 +244,7 @@ def lookup_arrays(
 def encode(
     df: DataFrame,
     col: str,
-    vocab: DataFrame,
+    vocab: DataFrame | Lookup,
     out: str = "ids",
     max_len: int | None = None,
     add_special: bool = True,
@@ -198,7 +258,7 @@ def encode(
 def _encode(
     df: DataFrame,
     columns: dict[str, tuple[str, int | None]],
-    vocab: DataFrame,
+    vocab: DataFrame | Lookup,
     add_special: bool,
     padding: str | None,
     **bounds: int,
@@ -224,7 +284,7 @@ def _encode(
 
 def encode_pairs(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | Lookup,
     opts: PrepOptions = PrepOptions(),
     key: str | Sequence[str] = "id",
     keep: Sequence[str] = ("split",),
@@ -255,7 +315,7 @@ def encode_pairs(
 def decode(
     df: DataFrame,
     cols: str | dict[str, str],
-    vocab: DataFrame,
+    vocab: DataFrame | Lookup,
     out: str = "text",
     skip_special: bool = True,
     **bounds: int,
@@ -277,7 +337,7 @@ def decode(
 
 
 def token_labels(
-    df: DataFrame, col: str, vocab: DataFrame, key: str | Sequence[str] = "id", **bounds: int
+    df: DataFrame, col: str, vocab: DataFrame | Lookup, key: str | Sequence[str] = "id", **bounds: int
 ) -> DataFrame:
     """One row per position: the id there and its token."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -39,7 +39,7 @@ def order_hash(seed: int, key: Key) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *keys))
 
 
-def _small_table(df: DataFrame, **columns: Iterable) -> DataFrame:
+def small_table(df: DataFrame, **columns: Iterable) -> DataFrame:
     """Driver-side columns as a table; Arrow keeps it out of any task."""
     types = {"_bucket": pa.string()}
     return df.sparkSession.createDataFrame(
@@ -70,7 +70,7 @@ def hash_index(df: DataFrame, seed: int, key: Key, name: str = "shuffle_idx") ->
         prefix = row["bucket"][:digits]
         sizes[prefix] = sizes.get(prefix, 0) + row["count"]
     starts = accumulate(sizes.values(), initial=0)
-    offsets = _small_table(df, _bucket=sizes, _start=list(starts)[:-1])
+    offsets = small_table(df, _bucket=sizes, _start=list(starts)[:-1])
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *keys))
     return (
         df.withColumn("_hash", hashed)
@@ -98,7 +98,7 @@ def sorted_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx"
     part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     counted = sorted(table.groupBy(part.alias("part")).count().collect())
     starts = accumulate((r["count"] for r in counted), initial=0)
-    offsets = _small_table(df, _part=[r["part"] for r in counted], _start=list(starts)[:-1])
+    offsets = small_table(df, _part=[r["part"] for r in counted], _start=list(starts)[:-1])
     return (
         table.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")  # one row per partition
@@ -208,6 +208,36 @@ def _nth(rows: DataFrame, keys: Sequence[str], n: int):
     return last, indexed.filter(F.struct(*keys) < edge).count()
 
 
+def nth_largest(df: DataFrame, col: str, n: int) -> tuple[int, int] | None:
+    """The n-th largest value (from 1) of a column of whole numbers from 0, and how many rows are above it.
+
+    None when there are fewer rows. The value is found twelve bits at a time:
+    every step counts the rows per value of the next bits, at most 4,096 counts
+    per task, so no task or driver ever holds n rows.
+    """
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    top = df.agg(F.max(col).alias("top")).head()["top"]
+    if top is None:
+        return None
+    shift = max(0, int(top).bit_length() - 1) // 12 * 12
+    prefix, above = 0, 0
+    while True:
+        digits = F.shiftright(F.col(col).cast("long"), shift)
+        inside = df if shift + 12 > int(top).bit_length() else df.filter(F.shiftright(F.col(col).cast("long"), shift + 12) == prefix)
+        counted = sorted(inside.groupBy(digits.alias("digits")).count().collect(), reverse=True)
+        for row in counted:
+            if above + row["count"] >= n:
+                prefix = row["digits"]
+                break
+            above += row["count"]
+        else:
+            return None
+        if not shift:
+            return prefix, above
+        shift -= 12
+
+
 def head_rows(df: DataFrame, n: int = 5, key: Key = "id") -> DataFrame:
     """The first rows by key, for a report."""
     return df.orderBy(*_keys(key)).limit(n)

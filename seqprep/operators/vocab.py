@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from seqprep.functions.hashing import multiset_fingerprint
 from seqprep.functions.text import words
-from seqprep.operators.sampling import TOP_K_LIMIT, sorted_index
+from seqprep.operators.sampling import max_samples, nth_largest, sorted_index
 from seqprep.options import BOS_ID, SPECIAL_TOKENS
 from seqprep.session import write_shared
 
@@ -41,6 +41,22 @@ def word_counts(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.select(F.explode(every).alias("token")).groupBy("token").agg(F.count("*").alias("freq"))
 
 
+def most_frequent(counts: DataFrame, n: int) -> DataFrame:
+    """The ``n`` most frequent words of ``token, freq``; equal frequencies by word.
+
+    The n-th frequency is found by counting frequencies; what is above it stays,
+    and of the words that have it as many as are still wanted.
+    """
+    if n < 1:
+        return counts.limit(0)
+    counts = write_shared(counts, "word-counts")
+    found = nth_largest(counts, "freq", n)
+    if found is None:
+        return counts
+    edge, above = found
+    return counts.filter(F.col("freq") > edge).unionByName(max_samples(counts.filter(F.col("freq") == edge), n - above, "token"))
+
+
 def build_vocab(
     df: DataFrame, cols: Sequence[str | Column], min_count: int = 1, max_size: int | None = None
 ) -> DataFrame:
@@ -52,16 +68,9 @@ def build_vocab(
     counts = word_counts(df, cols).filter(~F.col("token").isin(*SPECIAL_TOKENS))
     if min_count > 1:
         counts = counts.filter(F.col("freq") >= min_count)
-    order = [F.desc("freq"), F.asc("token")]
-    limit = None if max_size is None else max(max_size - len(SPECIAL_TOKENS), 0)
-    if limit is not None and limit <= TOP_K_LIMIT:
-        # A top-k comes out as one sorted partition, where row number = rank.
-        top = counts.orderBy(*order).limit(limit)
-        indexed = write_shared(top.withColumn("_idx", F.monotonically_increasing_id()), "top-words")
-    else:
-        indexed = sorted_index(counts, order, "_idx")
-        if limit is not None:
-            indexed = indexed.filter(F.col("_idx") < limit)
+    if max_size is not None:
+        counts = most_frequent(counts, max(max_size - len(SPECIAL_TOKENS), 0))
+    indexed = sorted_index(counts, [F.desc("freq"), F.asc("token")], "_idx")
     ids = (F.col("_idx") + len(SPECIAL_TOKENS)).cast("int")
     ranked = indexed.select("token", ids.alias("token_id"), "freq")
     return special_rows(df.sparkSession).unionByName(ranked)
@@ -93,7 +102,7 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VOCAB_SCHEMA).parquet(path)
 
 
-def first_token_id(df: DataFrame, col: str, vocab: DataFrame, **bounds: int) -> DataFrame:
+def first_token_id(df: DataFrame, col: str, vocab, **bounds: int) -> DataFrame:
     """Rows of ``df`` with the id of their first word; unknown words drop out.
 
     The first word of a text is among the most skewed keys there are, so it goes

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from seqprep.operators.collate import assign_batches, collate
+from seqprep.operators.collate import clustered_batches, collate
 from seqprep.operators.encode import decode
 from seqprep.operators.guards import is_empty, require_columns
 from seqprep.operators.metrics import compute_metrics, decode_scores, masked_xent
@@ -14,10 +14,15 @@ from seqprep.options import BOS_ID, PAD_ID, PrepOptions
 from seqprep.sources.tables import failed_metrics, sample_report
 
 
-def training_feed(encoded: DataFrame, opts: PrepOptions = PrepOptions(), shuffled: bool = True, bos: int = BOS_ID) -> DataFrame:
-    """Encoded rows to collated batches, shuffled for training."""
+def training_feed(
+    encoded: DataFrame, opts: PrepOptions = PrepOptions(), shuffled: bool = True, bos: int = BOS_ID, batches_per_part: int = 64
+) -> DataFrame:
+    """Encoded rows to collated batches, shuffled for training.
+
+    Each batch lies in one task, in order; ``feed_part`` tells which batches lie together.
+    """
     seed = opts.seed if shuffled else None
-    batches = assign_batches(encoded, opts.batch_size, seed=seed, measure=("input_ids", "labels"))
+    batches = clustered_batches(encoded, opts.batch_size, seed=seed, batches_per_part=batches_per_part)
     return collate(batches, bos, PAD_ID, opts.alignment)
 
 

@@ -84,12 +84,70 @@ def test_measured_lengths_give_the_same_batches(spark, rows, seed):
     assert sorted(map(str, measured.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_training_feed_reads_the_wide_columns_once(spark, rows, tmp_path, capsys):
+def plan_of(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_training_feed_moves_the_wide_columns_once(spark, rows, tmp_path, capsys):
     rows.write.parquet(str(tmp_path / "rows"))
-    EV.training_feed(spark.read.parquet(str(tmp_path / "rows")), PrepOptions(batch_size=2)).explain()
-    scans = [line for line in capsys.readouterr().out.splitlines() if "ReadSchema" in line]
-    # The other scan orders ids and array lengths; it never sees the masks.
-    assert len(scans) == 2 and sum("attention_mask" in line for line in scans) == 1
+    feed = EV.training_feed(spark.read.parquet(str(tmp_path / "rows")), PrepOptions(batch_size=2))
+    stacked = C.stack_batches(feed)
+    for df in (feed, stacked):
+        plan = plan_of(df, capsys)
+        assert sum("attention_mask" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("per_part, n", [(1, 40), (3, 40), (64, 40), (2, 1)])
+def test_batches_lie_in_one_task_in_order(spark, per_part, n, monkeypatch):
+    df = spark.range(n).selectExpr("id", "transform(sequence(0, cast(id % 5 as int)), x -> x + 4) AS input_ids").withColumn("labels", F.col("input_ids"))
+    df = df.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1))).repartition(3)
+    plain = by_id(C.collate(C.assign_batches(df, 4, seed=42)))
+    for shuffled in (True, False):
+        feed = EV.training_feed(df, PrepOptions(batch_size=4), shuffled, batches_per_part=per_part)
+        found = feed.withColumn("task", F.spark_partition_id()).collect()
+        tasks, last = {}, {}
+        for r in found:
+            assert r["feed_part"] == r["batch_id"] // per_part
+            assert tasks.setdefault(r["feed_part"], r["task"]) == r["task"]
+            place = (r["batch_id"], r["pos_in_batch"])
+            assert last.get(r["feed_part"], (-1, -1)) < place
+            last[r["feed_part"]] = place
+        if shuffled:
+            assert {r["id"]: (r["batch_id"], r["pos_in_batch"], r["src_tokens"]) for r in found} == {
+                i: (r["batch_id"], r["pos_in_batch"], r["src_tokens"]) for i, r in plain.items()
+            }
+        else:
+            assert [r["id"] for r in sorted(found, key=lambda r: (r["batch_id"], r["pos_in_batch"]))] == list(range(n))
+
+
+def test_number_of_parts_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(C, "MOST_PARTS", 3)
+    made = C.clustered_batches(spark.range(100), 2, batches_per_part=1).collect()
+    assert len({r["feed_part"] for r in made}) == 3
+    assert sorted((r["batch_id"], r["pos_in_batch"]) for r in made) == [(k // 2, k % 2) for k in range(100)]
+
+
+def test_stored_feed_is_read_by_part(spark, tmp_path, capsys):
+    made = C.clustered_batches(spark.range(100).withColumn("input_ids", F.array(F.col("id").cast("int"))), 3, batches_per_part=4)
+    C.write_feed(made, str(tmp_path))
+    some = C.read_batches(spark, str(tmp_path), 9, 14)
+    assert {r["batch_id"] for r in some.collect()} == set(range(9, 15)) and some.count() == 18
+    assert len(some.inputFiles()) <= len(C.read_batches(spark, str(tmp_path)).inputFiles())
+    assert "PartitionFilters: [isnotnull(feed_part" in plan_of(some, capsys)
+    assert C.read_batches(spark, str(tmp_path), 1000).count() == 0 and C.read_batches(spark, str(tmp_path)).count() == 100
+
+
+def test_clustered_repeated_and_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, [4, 5]), (1, [6]), (None, [7]), (None, [8, 9, 9])], "id long, input_ids array<int>")
+    for seed in (None, 3):
+        made = C.clustered_batches(df, 2, seed=seed, batches_per_part=1).collect()
+        assert sorted(tuple(r.input_ids) for r in made) == [(4, 5), (6,), (7,), (8, 9, 9)]
+        assert sorted((r.batch_id, r.pos_in_batch) for r in made) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert C.clustered_batches(df.limit(0), 2).count() == 0
+    with pytest.raises(ValueError):
+        C.clustered_batches(df, 0)
 
 
 def test_repeated_and_null_keys_keep_their_rows(spark):

@@ -36,11 +36,69 @@ def test_vocab_order_and_size(spark, texts, vocab):
     assert V.vocab_size(V.build_vocab(texts, ["text"], max_size=2)) == 4
 
 
-def test_capped_vocab_is_a_prefix_of_the_full_one(spark, texts, vocab, monkeypatch):
+def test_capped_vocab_is_a_prefix_of_the_full_one(spark, texts, vocab):
     full = [tuple(r) for r in vocab.orderBy("token_id").collect()]
-    assert [tuple(r) for r in V.build_vocab(texts, ["text"], max_size=8).orderBy("token_id").collect()] == full[:8]
-    monkeypatch.setattr(V, "TOP_K_LIMIT", 0)
-    assert [tuple(r) for r in V.build_vocab(texts, ["text"], max_size=8).orderBy("token_id").collect()] == full[:8]
+    for size in (3, 6, 8, len(full) + 1):
+        capped = V.build_vocab(texts, ["text"], max_size=size).orderBy("token_id")
+        assert [tuple(r) for r in capped.collect()] == full[: max(size, 4)]
+
+
+def test_capped_vocab_has_no_top_k(spark, texts, capsys):
+    V.build_vocab(texts, ["text"], max_size=6).explain()
+    V.most_frequent(V.word_counts(texts, ["text"]), 2).explain()
+    assert "TakeOrdered" not in capsys.readouterr().out
+
+
+def test_nth_largest(spark):
+    from seqprep.operators.sampling import nth_largest
+
+    for values in ([5], [0, 0, 7, 7, 7, 4095, 4096, 4097, 1 << 40], list(range(30)) * 2):
+        df = spark.createDataFrame([(v,) for v in values], "v long")
+        order = sorted(values, reverse=True)
+        for n in {1, len(values) // 2 or 1, len(values)}:
+            assert nth_largest(df, "v", n) == (order[n - 1], sum(v > order[n - 1] for v in values))
+        assert nth_largest(df, "v", len(values) + 1) is None
+    assert nth_largest(spark.createDataFrame([], "v long"), "v", 1) is None
+
+
+def test_very_long_hot_elements_take_no_join(spark, monkeypatch):
+    """A long word that makes up half of the positions is decided inside the rows, known or not."""
+    for known in (True, False):
+        monkeypatch.setattr(E, "HOT_ELEMENTS", 1)
+        long = "x" * 5000
+        df = spark.createDataFrame([(k, f"{long} w{k} {long} v") for k in range(20)], "id long, text string")
+        vocab = V.build_vocab(df, ["text"]).filter(F.col("token") != long if not known else F.lit(True))
+        both = [by_id(E.encode(df, "text", vocab, **bounds), "ids") for bounds in ({}, JOINED)]
+        assert both[0] == both[1]
+        counted = []
+        original = E._hot_entries
+        monkeypatch.setattr(E, "_hot_entries", lambda *a: counted.append(original(*a)) or counted[-1])
+        E.encode(df, "text", vocab, **JOINED).count()
+        assert counted[-1].num_rows == 1 and len(counted[-1].column(0)[0].as_py()) == 65
+        monkeypatch.setattr(E, "_hot_entries", original)
+
+
+def test_lookup_is_sent_once_and_freed(spark, texts, vocab, monkeypatch):
+    sent = []
+    original = E._send
+    monkeypatch.setattr(E, "_send", lambda *a: sent.append(1) or original(*a))
+    want = by_id(E.encode(texts, "text", vocab), "ids")
+    sent.clear()
+    with E.vocab_lookup(vocab) as lookup:
+        for _ in range(3):
+            assert by_id(E.encode(texts, "text", lookup), "ids") == want
+        assert len(sent) == 1
+        with pytest.raises(ValueError, match="lookup gives"):
+            E.decode(texts.select("id", F.array(F.lit(4)).alias("ids")), "ids", lookup)
+    assert lookup.sent is None
+    with E.vocab_lookup(vocab, max_rows=0) as lookup:
+        assert by_id(E.encode(texts, "text", lookup), "ids") == want
+
+
+def test_null_elements_of_both_paths(spark, vocab):
+    df = spark.createDataFrame([(1, ["the", None, "zz"]), (2, None), (3, [None])], "id long, w array<string>")
+    made = [by_id(E.lookup_arrays(df, {"ids": "w"}, vocab, "token", "token_id", 1, **b), "ids") for b in ({}, JOINED)]
+    assert made[0] == made[1] == {1: [4, 1, 1], 2: None, 3: [1]}
 
 
 def test_empty_vocab_and_bos(spark, texts, vocab):
