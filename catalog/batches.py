@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
@@ -10,6 +12,7 @@ from seqprep.functions.text import words
 from seqprep.operators import collate as C
 from seqprep.options import PrepOptions
 from seqprep.plans.evaluate import training_feed
+from seqprep.session import shared_dir
 
 _LEN = f"list_transform({Q.words('text')}, lambda w: length(w))"
 # Word lengths stand in for ids; a document's own length varies.
@@ -106,6 +109,18 @@ def shuffled_training_feed(spark, sf_dir):
     return fed.select(*_place(), *[ids_text(c).alias(c) for c in C.COLLATED_COLUMNS])
 
 
+@query(
+    f"""WITH {_SHUFFLED} SELECT id, batch_id, pos_in_batch, {Q.ids_text('src_tokens')} AS src_tokens,
+        batch_id // 4 AS feed_part FROM padded"""
+)
+def stored_training_feed(spark, sf_dir):
+    """The feed written a folder per four batches, and read back batch by batch."""
+    path = f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    C.write_feed(training_feed(rows(spark, sf_dir), PrepOptions(batch_size=32), batches_per_part=4), path)
+    back = C.read_batches(spark, path)
+    return back.select(*_place(), ids_text("src_tokens").alias("src_tokens"), long("feed_part").alias("feed_part"))
+
+
 @query(
     f"""WITH {_ROWS} SELECT batch_id, string_agg({Q.ids_text('src_tokens')}, '|' ORDER BY pos_in_batch) AS src_tokens,
         string_agg({Q.ids_text(_INPUT)}, '|' ORDER BY pos_in_batch) AS tgt_tokens_input FROM padded GROUP BY batch_id"""

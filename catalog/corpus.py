@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
@@ -9,6 +11,7 @@ from catalog.registry import long, query, table
 from seqprep.operators import sampling as S
 from seqprep.operators.encode import select_pair
 from seqprep.options import PrepOptions
+from seqprep.session import shared_dir
 from seqprep.plans.prepare import selected_pairs
 from seqprep.sources import parallel as R
 from seqprep.sources.tables import read_vectors
@@ -26,6 +29,22 @@ def read_parallel(spark, sf_dir):
     return df.select("id", "translation.fr", "translation.en")
 
 
+_CONTENT = "md5('2:en' || length(lang) || ':' || lang || '2:fr' || length(text) || ':' || text)"
+
+
+@query(
+    f"""WITH d AS (SELECT *, {_CONTENT} AS h FROM documents)
+        SELECT h || ':' || (row_number() OVER (PARTITION BY h) - 1) AS id, text AS fr, lang AS en FROM d"""
+)
+def read_parallel_without_ids(spark, sf_dir):
+    """JSON lines without ids: the contents' hash and the number among equal contents."""
+    folder = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    texts = table(spark, sf_dir, "documents").select(F.struct(F.col("text").alias("fr"), F.col("lang").alias("en")).alias("translation"))
+    texts.write.json(folder)
+    df = R.read_parallel(spark, folder, "json", "translation struct<fr: string, en: string>")
+    return df.select("id", "translation.fr", "translation.en")
+
+
 @query(f"WITH {Q.PAIRS} SELECT id, split, source, target FROM pairs")
 def pairs_from_turns(spark, sf_dir):
     return select_pair(pairs(spark, sf_dir))
@@ -114,6 +133,15 @@ def max_samples(spark, sf_dir):
     return S.max_samples(docs, 100)
 
 
+@query(
+    """SELECT lang, count(*) AS n_rows FROM (SELECT lang FROM documents ORDER BY lang LIMIT 150) GROUP BY lang"""
+)
+def max_samples_of_tied_rows(spark, sf_dir):
+    """The cap falls among rows with one key, which hold a map."""
+    docs = table(spark, sf_dir, "documents").select("lang", F.create_map(F.lit("fr"), "text").alias("translation"))
+    return S.max_samples(docs, 150, "lang").groupBy("lang").agg(F.count("translation").alias("n_rows"))
+
+
 @query("SELECT doc_id AS id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 5")
 def head_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars")

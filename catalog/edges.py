@@ -9,9 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from catalog.corpus import pairs
-from catalog.encoding import ALL_PADDED, _as_text
+from catalog.encoding import ALL_PADDED, QUARTER_PADDED, _as_text
 from catalog.quality import scores
-from catalog.registry import documents, query
+from catalog.registry import documents, query, table
 from seqprep.functions.text import normalize
 from seqprep.operators import guards as G
 from seqprep.operators import scoring as U
@@ -19,9 +19,11 @@ from seqprep.operators.encode import encode_pairs, select_pair
 from seqprep.operators.metrics import masked_xent
 from seqprep.operators.vocab import build_vocab
 from seqprep.options import PrepOptions
+from seqprep.plans.prepare import corpus_vocab, prepare_cached, prepare_incremental, selected_pairs
 from seqprep.session import shared_dir
 from seqprep.sources import processed as S
 from seqprep.sources.tables import write_metrics
+from seqprep.streaming.monitor import monitor, monitor_to
 from seqprep.streaming.prepare import prepare_stream as stream
 
 
@@ -53,6 +55,35 @@ def processed_round_trip(spark, sf_dir):
     return _as_text(again.withColumn("split", back))
 
 
+@query(QUARTER_PADDED)
+def prepare_through_cache(spark, sf_dir):
+    """Prepared behind the cache, with vocabulary and fingerprint; the second call reads back."""
+    raw, root = pairs(spark, sf_dir), _folder(spark, "cache")
+    opts = PrepOptions(normalize=True, dataset_fraction=0.25)
+    prepare_cached(spark, raw, root, opts)
+    return _as_text(prepare_cached(spark, raw, root, opts)[0])
+
+
+@query(QUARTER_PADDED)
+def prepare_changed_files(spark, sf_dir):
+    """A corpus in files of which some are then changed, dropped and added: only those are encoded again."""
+    raw, root, source = pairs(spark, sf_dir), _folder(spark, "incremental"), _folder(spark, "corpus")
+    opts = PrepOptions(normalize=True, dataset_fraction=0.25)
+    vocab = corpus_vocab(selected_pairs(raw, opts), opts)
+    parts = [raw.filter(F.pmod(F.xxhash64("id"), F.lit(4)) == k) for k in range(4)]
+    other = parts[1].withColumn("translation", F.struct(F.upper("translation.en").alias("fr"), F.col("translation.fr").alias("en")))
+
+    def put(rows, name):
+        rows.write.partitionBy("split").mode("overwrite").parquet(f"{source}/part={name}")
+
+    for name, rows in (("0", parts[0]), ("1", other), ("2", parts[2]), ("gone", other.withColumn("id", -F.col("id")))):
+        put(rows, name)
+    prepare_incremental(spark, source, root, opts, vocab)
+    for name, rows in (("1", parts[1]), ("3", parts[3]), ("gone", other.limit(0))):
+        put(rows, name)
+    return _as_text(prepare_incremental(spark, source, root, opts, vocab)[0])
+
+
 @query(
     """SELECT 'eval' AS kind, round(avg(ln(list_sum(list_transform(embedding::DOUBLE[], lambda x: exp(x))))
               - embedding[label + 1]::DOUBLE), 6) AS loss FROM embeddings WHERE label <> 0"""
@@ -113,3 +144,19 @@ def prepare_stream(spark, sf_dir):
         spark, f"{folder}/in", vocab, f"{folder}/out", f"{folder}/state", raw.schema, PrepOptions(normalize=True)
     ).awaitTermination()
     return _as_text(spark.read.parquet(f"{folder}/out"))
+
+
+@query(
+    """WITH w AS (SELECT (floor(epoch(ts) / 600) * 600)::BIGINT AS window_start, event_type AS run,
+                         round(avg(value), 8) AS mean_value, count(value) AS n_values FROM events GROUP BY 1, 2)
+       SELECT * FROM w WHERE window_start + 600 <= (SELECT epoch(max(ts)) FROM events) - 600"""
+)
+def monitor_stream(spark, sf_dir):
+    """The metric monitor as a stream: the windows that are closed when all events are read."""
+    events, folder = table(spark, sf_dir, "events"), _folder(spark, "monitor")
+    events.select("ts", "event_type", "value").write.parquet(f"{folder}/in")
+    live = spark.readStream.schema("ts timestamp_ntz, event_type string, value double").parquet(f"{folder}/in")
+    monitor_to(monitor(live, run="event_type"), f"{folder}/out", f"{folder}/state").awaitTermination()
+    closed = spark.read.schema("window_start timestamp, run string, mean_value double, n_values long").parquet(f"{folder}/out")
+    shown = [F.unix_timestamp("window_start").alias("window_start"), "run", F.round("mean_value", 8).alias("mean_value"), "n_values"]
+    return closed.select(*shown)

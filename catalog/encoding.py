@@ -79,8 +79,8 @@ _on_ids("truncate_without_eos", "ids[1:64]", lambda c: A.truncate(c, 64, add_spe
 _on_ids("pad_to", Q.pad("ids", 300), lambda c: A.pad_to(c, 300))
 _on_ids(
     "attention_mask",
-    Q.pad("list_transform(ids[1:64], lambda x: 1)", 64),
-    lambda c: A.attention_mask(F.slice(c, 1, 64), 64),
+    Q.pad("list_transform(ids, lambda x: 1)", 300),
+    lambda c: A.attention_mask(c, 300),
 )
 _on_ids("shift_right", "list_concat([2], ids[1:len(ids) - 1])", A.shift_right)
 _on_ids("target_tail", "ids[2:]", A.target_tail)
@@ -157,7 +157,10 @@ def encode_pairs_variable_length(spark, sf_dir):
     return _as_text(encoded_pairs(spark, sf_dir, opts))
 
 
-@query(_pair_sql(_QUARTER, 128, 128, True))
+QUARTER_PADDED = _pair_sql(_QUARTER, 128, 128, True)
+
+
+@query(QUARTER_PADDED)
 def prepare_corpus(spark, sf_dir):
     """Flagship: subset of both splits, normalised, vocabulary, encoded, padded, masked."""
     return _as_text(prepare(pairs(spark, sf_dir), PrepOptions(normalize=True, dataset_fraction=0.25))[0])

@@ -92,25 +92,79 @@ def param_magnitudes(spark, sf_dir):
     return sizes.select("tensor", F.round("mean_abs", 6).alias("mean_abs"), F.round("max_abs", 6).alias("max_abs"))
 
 
-@query(None)
+# Two principal axes: a matrix squared again and again turns into its largest
+# axis; without that one's share it turns into the next.
+_SQUARED = "list_transform(m, lambda a: list_transform(m, lambda b: list_dot_product(a, b)))"
+_LARGEST = "list_max(list_transform({0}, lambda r: list_max(list_transform(r, lambda x: abs(x)))))"
+
+
+def _axis(name: str, start: str) -> str:
+    """CTEs for the largest axis of the matrix m of CTE ``start``: ``name`` has its vector v and its value e."""
+    scaled = "list_transform({0}, lambda r: list_transform(r, lambda x: x / {1}))"
+    return f"""
+  {name}_powers AS (
+    SELECT 0 AS k, {scaled.format('m', 'big')} AS m FROM (SELECT m, {_LARGEST.format('m')} AS big FROM {start})
+    UNION ALL
+    SELECT k, {scaled.format('m', 'big')} FROM (
+      SELECT k, m, {_LARGEST.format('m')} AS big FROM (SELECT k + 1 AS k, {_SQUARED} AS m FROM {name}_powers WHERE k < 24))),
+  {name}_column AS (SELECT unnest(m) AS r FROM {name}_powers WHERE k = 24),
+  {name}_longest AS (SELECT r FROM {name}_column ORDER BY list_dot_product(r, r) DESC LIMIT 1),
+  {name}_unit AS (
+    SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))
+             * sign(r[list_position(list_transform(r, lambda y: abs(y)), list_max(list_transform(r, lambda y: abs(y))))])) AS v
+    FROM {name}_longest),
+  {name} AS (SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS e FROM {name}_unit, {start})"""
+
+
+PRINCIPAL = f"""
+  entries AS (SELECT vec_id, unnest(embedding::DOUBLE[]) AS e, generate_subscripts(embedding, 1) AS j FROM embeddings),
+  centred AS (SELECT vec_id, j, e - avg(e) OVER (PARTITION BY j) AS e FROM entries),
+  cells AS (SELECT a.j AS i, b.j AS j, sum(a.e * b.e) AS s FROM centred a JOIN centred b USING (vec_id) GROUP BY a.j, b.j),
+  spread AS (SELECT sum(s) AS total FROM cells WHERE i = j),
+  covariance AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(s ORDER BY j) AS r FROM cells GROUP BY i)),
+  {_axis('first_axis', 'covariance')},
+  rest AS (
+    SELECT list_transform(range(1, len(v) + 1), lambda i: list_transform(range(1, len(v) + 1), lambda j: m[i][j] - e * v[i] * v[j])) AS m
+    FROM covariance, first_axis),
+  {_axis('second_axis', 'rest')},
+  points AS (
+    SELECT vec_id, round(list_dot_product(c, a.v), 4) + 0 AS pc1, round(list_dot_product(c, b.v), 4) + 0 AS pc2
+    FROM (SELECT vec_id, list(e ORDER BY j) AS c FROM centred GROUP BY vec_id), first_axis a, second_axis b)"""
+
+
+def _rounded(points):
+    return points.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("pc1", "pc2")})
+
+
+@query(f"WITH RECURSIVE {PRINCIPAL} SELECT vec_id AS token_id, pc1, pc2 FROM points")
 def pca_project(spark, sf_dir):
-    return N.pca_project(vectors(spark, sf_dir), 2)
+    return _rounded(N.pca_project(vectors(spark, sf_dir), 2))
 
 
-@query(None)
+@query(
+    f"""WITH RECURSIVE {DOCS}, {PRINCIPAL},
+        w AS (SELECT id, {Q.words('text')} AS w FROM docs),
+        l AS (SELECT id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM w)
+        SELECT id, pos::INT AS pos, pc1, pc2, token FROM points JOIN l ON id = vec_id // 10 AND pos = vec_id % 10"""
+)
 def labelled_projection(spark, sf_dir):
-    """Vectors laid out as (text, position), labelled with the token there."""
+    """Vectors laid out as (text, position), labelled with the token there; only texts with a vector are encoded."""
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    labels = token_labels(encode(docs, "text", vocab, add_special=False), "ids", vocab).select("id", "pos", "token")
     points = table(spark, sf_dir, "embeddings").select(
         F.floor(F.col("vec_id") / 10).alias("id"), (F.col("vec_id") % 10).cast("int").alias("pos"), "embedding"
     )
-    return N.labelled_projection(points, labels)
+    wanted = docs.join(points.select("id").distinct(), "id", "left_semi")
+    labels = token_labels(encode(wanted, "text", vocab, add_special=False), "ids", vocab).select("id", "pos", "token")
+    return _rounded(N.labelled_projection(points, labels))
 
 
-@query(None)
+@query(
+    f"""WITH RECURSIVE {PRINCIPAL}
+        SELECT 1::INT AS component, round(e / total, 6) AS ratio FROM first_axis, spread
+        UNION ALL SELECT 2, round(e / total, 6) FROM second_axis, spread"""
+)
 def explained_variance(spark, sf_dir):
-    return N.explained_variance(vectors(spark, sf_dir), 2)
+    return N.explained_variance(vectors(spark, sf_dir), 2).withColumn("ratio", F.round("ratio", 6))
 
 
 @query(
@@ -126,7 +180,7 @@ def sample_report(spark, sf_dir):
 
 @query(
     f"""WITH {DOCS}, {DOC_VOCAB}, five AS (SELECT * FROM docs ORDER BY id LIMIT 5),
-        w AS (SELECT id, ({Q.words('text')})[1:31] AS w FROM five),
+        w AS (SELECT id, {Q.words('text')} AS w FROM five),
         p AS (SELECT id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM w),
         k AS (SELECT id, string_agg(token, ' ' ORDER BY pos) AS text FROM p JOIN vocab USING (token)
               WHERE token_id > 3 GROUP BY id)
@@ -137,7 +191,7 @@ def sample_report(spark, sf_dir):
 )
 def encoded_sample_report(spark, sf_dir):
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    coded = encode(docs, "text", vocab, out="input_ids", max_len=32).withColumn("labels", F.col("input_ids"))
+    coded = encode(docs, "text", vocab, out="input_ids").withColumn("labels", F.col("input_ids"))
     pred = documents(spark, sf_dir).select("id", F.col("lang").alias("prediction"))
     return encoded_report(coded, pred, vocab)
 
@@ -148,7 +202,6 @@ def encoded_sample_report(spark, sf_dir):
 )
 def monitor_windows(spark, sf_dir):
     """The batch twin of the streaming monitor."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the SQL counts in UTC
     windows = monitor(table(spark, sf_dir, "events"), run="event_type")
     return windows.select(
         F.unix_timestamp("window_start").alias("window_start"),

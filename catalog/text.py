@@ -50,14 +50,12 @@ def word_count(spark, sf_dir):
 @query(
     f"""WITH {Q.PAIRS}, texts AS (SELECT {Q.words(Q.normalize('source'))} AS w FROM pairs
           UNION ALL SELECT {Q.words(Q.normalize('target'))} FROM pairs)
-    SELECT token, count(*) AS freq FROM (SELECT unnest(w) AS token FROM texts) GROUP BY token
-    ORDER BY freq DESC, token LIMIT 100"""
+    SELECT token, count(*) AS freq FROM (SELECT unnest(w) AS token FROM texts) GROUP BY token"""
 )
-def frequent_words_of_pairs(spark, sf_dir):
-    """Which normalised words are the most frequent in the paired corpus?"""
+def words_of_pairs(spark, sf_dir):
+    """How often does each normalised word occur in the paired corpus?"""
     both = select_pair(pairs(spark, sf_dir))
-    counts = V.word_counts(both, [X.normalize(F.col("source")), X.normalize(F.col("target"))])
-    return counts.orderBy(F.desc("freq"), "token").limit(100)
+    return V.word_counts(both, [X.normalize(F.col("source")), X.normalize(F.col("target"))])
 
 
 _DOC_WORDS = f"SELECT {Q.words(Q.normalize('text'))} AS w FROM documents"
@@ -91,22 +89,22 @@ def vocab_size(spark, sf_dir):
 
 
 @query(
-    f"""WITH {Q.vocab(_DOC_WORDS, 5000)}
+    f"""WITH {Q.vocab(_DOC_WORDS)}
         SELECT lang, count(*) AS n_docs, (SELECT token_id FROM vocab WHERE token = '<bos>')::BIGINT AS bos_id
         FROM documents GROUP BY lang"""
 )
 def resolve_bos(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    bos = V.resolve_bos(V.build_vocab(docs, [X.normalize(F.col("text"))], max_size=5000))
+    bos = V.resolve_bos(V.build_vocab(docs, [X.normalize(F.col("text"))]))
     return docs.groupBy("lang").agg(F.count("*").alias("n_docs")).withColumn("bos_id", F.lit(bos).cast("long"))
 
 
 @query(
-    f"""WITH {Q.vocab(_DOC_WORDS, 5000)}, firsts AS (
+    f"""WITH {Q.vocab(_DOC_WORDS)}, firsts AS (
           SELECT doc_id AS id, ({Q.words(Q.normalize('text'))})[1] AS token FROM documents)
         SELECT id, token_id::BIGINT AS token_id FROM firsts JOIN vocab USING (token)"""
 )
 def first_token_id(spark, sf_dir):
     docs = documents(spark, sf_dir).select("id", X.normalize(F.col("text")).alias("text"))
-    found = V.first_token_id(docs, "text", V.build_vocab(docs, ["text"], max_size=5000))
+    found = V.first_token_id(docs, "text", V.build_vocab(docs, ["text"]))
     return found.select("id", long("token_id").alias("token_id"))

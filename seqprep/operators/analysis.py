@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from seqprep.functions import arrays as A
@@ -83,44 +83,115 @@ def param_magnitudes(df: DataFrame) -> DataFrame:
 
 # --- PCA ------------------------------------------------------------------
 
+#: Directions followed beyond the wanted ones, rounds before giving up, tasks that add up partial sums.
+GUARD, MOST_ROUNDS, ADDERS = 62, 1000, 16
+#: Residual of a component, relative to the largest eigenvalue.
+TOLERANCE = 1e-13
+
+
+def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    """The vectors that have ``width`` finite entries, one per row."""
+    lengths = pc.fill_null(vectors.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    rows = vectors.filter(pa.array(lengths == width)).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return rows[np.isfinite(rows).all(axis=1)]
+
+
+def vector_sum(vectors: DataFrame, width: int, part: Callable[[np.ndarray], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
+    """Sum of ``part(rows)`` over a column of vectors: one array per task, added up by a few tasks."""
+
+    def total_of(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for array in arrays:
+            total = array if total is None else total + array
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from total_of(part(_matrix(batch.column(0), width)).astype(float).reshape(shape) for batch in batches)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from total_of(np.frombuffer(v.as_buffer(), float).reshape(shape) for batch in batches for v in batch.column(0))
+
+    parts = vectors.mapInArrow(own, "sums binary").withColumn("_adder", F.spark_partition_id() % ADDERS)
+    added = parts.repartition(ADDERS, "_adder").select("sums").mapInArrow(add, "sums binary")
+    total = np.zeros(shape)
+    for row in added.collect():  # one array per adder at most
+        total += np.frombuffer(row["sums"], float).reshape(shape)
+    return total
+
 
 @dataclass(frozen=True)
 class Projection:
-    """Fitted PCA on centred vectors, with a fixed sign per component.
+    """Fitted PCA: the mean, one unit axis per column, and the share of the variance of each.
 
-    Only the component matrix (dimension x k) lives on the driver.
+    The sign of an axis is fixed: its largest loading is positive.
     """
 
-    centre: StandardScalerModel
-    pca: PCAModel
-    k: int
+    mean: np.ndarray
+    axes: np.ndarray
+    explained_variance: list[float]
 
-    @cached_property
-    def signs(self) -> list[float]:
-        """+1 or -1 per component: the largest loading is positive."""
-        loadings = np.asarray(self.pca.pc.toArray())
-        largest = loadings[np.abs(loadings).argmax(axis=0), np.arange(self.k)]
-        return [1.0 if x >= 0 else -1.0 for x in largest]
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``pc1..pck``, NULL for a vector of another length or with entries that are not finite."""
+        mean, axes = self.mean, self.axes
 
-    @property
-    def explained_variance(self) -> list[float]:
-        """Share of the variance that each component carries."""
-        return [float(x) for x in self.pca.explainedVariance.toArray()]
+        @F.arrow_udf("array<double>")
+        def points(vectors: pa.Array) -> pa.Array:
+            lengths = pc.fill_null(vectors.value_lengths(), 0).to_numpy(zero_copy_only=False)
+            fits = lengths == len(mean)
+            rows = vectors.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean))
+            made = np.full((len(vectors), axes.shape[1]), np.nan)
+            made[fits] = (rows - mean) @ axes
+            usable = np.isfinite(made).all(axis=1)
+            ends = np.arange(0, made.size + 1, axes.shape[1])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(made.reshape(-1)), mask=pa.array(~usable))
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``pc1..pck``."""
-        vectors = df.withColumn("_raw", array_to_vector(F.col(VECTOR).cast("array<double>")))
-        points = self.pca.transform(self.centre.transform(vectors)).withColumn("_p", vector_to_array("_points"))
-        named = {f"pc{i + 1}": F.col("_p")[i] * F.lit(s) for i, s in enumerate(self.signs)}
-        return points.withColumns(named).drop("_raw", "_centred", "_points", "_p")
+        placed = df.withColumn("_p", points(F.col(VECTOR).cast("array<double>")))
+        return placed.withColumns({f"pc{i + 1}": F.get("_p", F.lit(i)) for i in range(axes.shape[1])}).drop("_p")
 
 
 def fit_pca(df: DataFrame, k: int = 2) -> Projection:
-    """Fit PCA on all vectors; means and covariance are summed on executors."""
-    vectors = df.select(array_to_vector(F.col(VECTOR).cast("array<double>")).alias("_raw"))
-    centre = StandardScaler(withMean=True, withStd=False, inputCol="_raw", outputCol="_centred").fit(vectors)
-    pca = PCA(k=k, inputCol="_centred", outputCol="_points").fit(centre.transform(vectors))
-    return Projection(centre, pca, k)
+    """Fit PCA on all vectors by subspace iteration.
+
+    A pass multiplies a block of trial axes by the covariance, which is never
+    formed: each task sums its share of ``X^T (X Q)``, X centred. So driver and
+    tasks hold matrices of dimension x (k + ``GUARD``) numbers, however wide the
+    vectors are. QR and Rayleigh-Ritz follow each pass, until the residuals of
+    the wanted axes vanish. Vectors of another length than the longest, or with
+    entries that are not finite, take no part.
+    """
+    vectors = df.select(F.col(VECTOR).cast("array<double>").alias(VECTOR))
+    width = vectors.agg(F.max(F.size(VECTOR)).alias("width")).head()["width"] or 0
+    if width < 1:
+        raise ValueError("PCA needs vectors")
+    sums = vector_sum(vectors, width, lambda x: np.append(x.sum(axis=0), len(x)), (width + 1,))
+    if not sums[-1]:
+        raise ValueError("PCA needs vectors with finite entries")
+    mean, n = sums[:-1] / sums[-1], sums[-1]
+    k = min(k, width)
+    block = min(width, k + GUARD)
+    trial = np.linalg.qr(np.random.default_rng(1).normal(size=(width, block)))[0]
+    for _ in range(MOST_ROUNDS):
+
+        def part(x: np.ndarray) -> np.ndarray:
+            centred = x - mean
+            return np.vstack([centred.T @ (centred @ trial), np.full((1, block), np.square(centred).sum())])
+
+        made = vector_sum(vectors, width, part, (width + 1, block)) / n
+        image, spread = made[:-1], made[-1, 0]
+        small = trial.T @ image
+        values, turn = np.linalg.eigh((small + small.T) / 2)
+        values, turn = values[::-1], turn[:, ::-1]
+        axes = trial @ turn[:, :k]
+        residual = np.linalg.norm(image @ turn[:, :k] - axes * values[:k], axis=0).max()
+        if block == width or residual <= TOLERANCE * abs(values[0]):
+            break
+        trial = np.linalg.qr(image @ turn)[0]
+    else:
+        raise ArithmeticError(f"PCA has not converged: residual {residual:.1e} of {values[0]:.1e}")
+    axes = axes * np.where(axes[np.abs(axes).argmax(axis=0), np.arange(k)] >= 0, 1.0, -1.0)
+    shares = [float(v / spread) if spread > 0 else 0.0 for v in values[:k]]
+    return Projection(mean, axes, shares)
 
 
 def pca_project(df: DataFrame, k: int = 2) -> DataFrame:

@@ -11,11 +11,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seqprep.functions import arrays as A
 from seqprep.functions.text import strip, tok13a, word_count
-from seqprep.operators.guards import nan_in
 from seqprep.operators.sampling import Key, _keys
 from seqprep.options import EOS_ID, IGNORE_ID, PAD_ID
 
@@ -222,14 +221,73 @@ def token_accuracy(df: DataFrame, pred: str = "pred", target: str = "target", pa
     return df.filter(F.col(target) != pad).agg(F.avg(hit).alias("accuracy"))
 
 
+#: Scores worked on at a time, in double precision.
+CELLS = 1 << 20
+
+SCORED = "struct<best: int, loss: double, unusable: boolean>"
+
+
+def _judged_scores(logits: pa.Array, targets: pa.Array) -> pa.Array:
+    """Best id, cross-entropy and unusability of every score array of a batch.
+
+    Arrays of one width are worked on as matrices, so a batch of equal widths is
+    a handful of vectorised steps. NULL scores are passed over by the best id and
+    leave no loss; a NaN is the highest score.
+    """
+    n = len(logits)
+    lengths = pc.fill_null(logits.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = logits.flatten()
+    holes = flat.is_null().to_numpy(zero_copy_only=False)
+    values = flat.to_numpy(zero_copy_only=False)
+    starts = np.cumsum(lengths) - lengths
+    target = pc.fill_null(targets.cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
+    best, loss = np.zeros(n, np.int32), np.zeros(n)
+    no_best, no_loss = np.ones(n, bool), np.ones(n, bool)
+    unusable = logits.is_null().to_numpy(zero_copy_only=False).copy()
+    for width in np.unique(lengths[lengths > 0]).tolist():
+        rows = np.flatnonzero(lengths == width)
+        step = max(1, CELLS // width)
+        for lo in range(0, len(rows), step):
+            own = rows[lo : lo + step]
+            cells = starts[own][:, None] + np.arange(width)
+            block, hole = values[cells].astype(float), holes[cells]
+            missing, broken = hole.any(axis=1), np.isnan(block).any(axis=1)  # NULL reads as NaN
+            shown = np.where(hole, -np.inf, block) if missing.any() else block
+            best[own], no_best[own], unusable[own] = shown.argmax(axis=1), hole.all(axis=1), broken
+            with np.errstate(all="ignore"):
+                top = block.max(axis=1)
+                spread = top + np.log(np.exp(block - top[:, None]).sum(axis=1))
+            inside = (target[own] >= 0) & (target[own] < width)
+            loss[own] = spread - block[np.arange(len(own)), np.where(inside, target[own], 0)]
+            no_loss[own] = ~inside | missing
+    columns = [pa.array(best, mask=no_best), pa.array(loss, mask=no_loss), pa.array(unusable)]
+    return pa.StructArray.from_arrays(columns, ["best", "loss", "unusable"])
+
+
+def judge_scores(df: DataFrame, logits: str = "logits", target: str = "target") -> DataFrame:
+    """The score array replaced by what every metric needs of it: ``best, loss, unusable``.
+
+    One vectorised pass over the widest column there is: the first best id, the
+    cross-entropy (NULL without a target inside the array or with a NULL score),
+    and whether the array is NULL or holds a NaN or a NULL.
+    """
+    judged = F.arrow_udf(_judged_scores, SCORED)(F.col(logits), F.col(target).cast("long"))
+    made = df.withColumn("_judged", judged).drop(logits)
+    return made.select(*[c for c in made.columns if c != "_judged"], "_judged.*")
+
+
+def mean_loss(judged: DataFrame, target: str = "target", ignore: Sequence[int] = (IGNORE_ID, PAD_ID)) -> DataFrame:
+    """Mean cross-entropy of judged positions that are not ignored."""
+    kept = judged.filter(~F.col(target).isin(*ignore)) if ignore else judged
+    return kept.agg(F.avg("loss").alias("loss"))
+
+
 def masked_xent(
     df: DataFrame, logits: str = "logits", target: str = "target", ignore: Sequence[int] = (IGNORE_ID, PAD_ID)
 ) -> DataFrame:
     """Mean cross-entropy over the positions that are not ignored."""
-    chosen = F.get(F.col(logits), F.col(target)).cast("double")
-    loss = A.log_sum_exp(F.col(logits)) - chosen
     kept = df.filter(~F.col(target).isin(*ignore)) if ignore else df
-    return kept.agg(F.avg(loss).alias("loss"))
+    return mean_loss(judge_scores(kept.select(logits, target), logits, target), target, ())
 
 
 def decode_scores(
@@ -237,18 +295,19 @@ def decode_scores(
 ) -> DataFrame:
     """Score table to text: best id per position, regrouped and decoded.
 
-    Input is one row per position (``id, pos, logits, target``); the scores
-    are reduced to one id before the shuffle. Output has ``prediction``,
-    ``references`` and ``has_nan`` (some score of the text is NaN).
+    Input is one row per position (``id, pos, logits, target``, or judged
+    already); the scores are reduced to one id before the shuffle. Output has
+    ``prediction``, ``references`` and ``has_nan`` (some score of the text is NaN).
     """
     from seqprep.operators.encode import decode
 
-    best = df.select(
+    judged = df if "best" in df.columns else judge_scores(df.select(key, "pos", "logits", "target"))
+    best = judged.select(
         key,
         "pos",
-        A.argmax(F.col("logits")).alias("p"),
+        F.col("best").alias("p"),
         F.when(F.col("target") == IGNORE_ID, F.lit(pad)).otherwise(F.col("target")).alias("t"),
-        nan_in(F.col("logits")).alias("nan"),
+        F.col("unusable").alias("nan"),
     )
     rows = F.sort_array(F.collect_list(F.struct("pos", "p", "t")))
     texts = best.groupBy(key).agg(rows.alias("_rows"), F.bool_or("nan").alias("has_nan"))

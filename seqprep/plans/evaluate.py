@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from seqprep.operators.collate import clustered_batches, collate
 from seqprep.operators.encode import decode
 from seqprep.operators.guards import is_empty, require_columns
-from seqprep.operators.metrics import compute_metrics, decode_scores, masked_xent
+from seqprep.operators.metrics import compute_metrics, decode_scores, judge_scores, mean_loss
 from seqprep.options import BOS_ID, PAD_ID, PrepOptions
+from seqprep.session import write_shared
 from seqprep.sources.tables import failed_metrics, sample_report
 
 
@@ -31,13 +32,18 @@ def evaluate_scores(scores: DataFrame, vocab: DataFrame, stop_at_eos: bool = Fal
     return compute_metrics(decode_scores(scores, vocab, stop_at_eos=stop_at_eos), nan_flag="has_nan")
 
 
-def evaluation_report(scores: DataFrame, vocab: DataFrame) -> DataFrame:
-    """One row with loss and text metrics; NaN loss when there is nothing."""
-    require_columns(scores, ("id", "pos", "logits", "target"))
-    if is_empty(scores):
+def evaluation_report(scores: DataFrame, vocab: DataFrame, key: str = "id") -> DataFrame:
+    """One row with loss and text metrics; NaN loss when there is nothing.
+
+    The scores are read once: a position's best id, loss and flag are written to
+    the shared folder, and text metrics, loss and emptiness come from there.
+    """
+    require_columns(scores, (key, "pos", "logits", "target"))
+    judged = write_shared(judge_scores(scores.select(key, "pos", "logits", "target")), "judged")
+    if is_empty(judged):
         return failed_metrics(scores.sparkSession)
-    text = evaluate_scores(scores, vocab)
-    return text.withColumn("eval_loss", masked_xent(scores).scalar())
+    text = compute_metrics(decode_scores(judged, vocab, key), nan_flag="has_nan")
+    return text.withColumn("eval_loss", mean_loss(judged).scalar())
 
 
 def encoded_report(encoded: DataFrame, pred: DataFrame, vocab: DataFrame, n: int = 5, columns: Sequence[str] = ("source", "reference")) -> DataFrame:
