@@ -34,6 +34,7 @@ import heapq
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +44,14 @@ from seqprep.operators.sampling import sorted_index
 from seqprep.session import write_shared
 
 #: Entries that a task holds before it lets go of a run, terms of a page, bytes of a text counted at a time.
-BLOCK, PAGE, PIECE = 400_000, 512, 1 << 22
+BLOCK, PAGE, PIECE = 600_000, 512, 1 << 22
 #: Groups on a side of a matrix of pairs, shards of the terms there, cells of a dense piece.
 WIDTH, TERM_SHARDS, CELLS = 512, 64, 1 << 21
 
 # Letters and everything beyond ASCII stay, A to Z in lower case; the rest separates.
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-PAGES = "shard int, lang binary, first binary, terms array<binary>, documents array<long>, sizes array<int>, sources array<binary>, counts array<long>"
+PAGES = "shard int, lang binary, first binary, names array<binary>, terms array<binary>, documents array<long>, sizes array<int>, sources array<int>, counts array<long>"
 FREQUENCIES = "lang string, term string, documents long, total long, sources array<string>, counts array<long>"
 
 
@@ -96,27 +97,40 @@ class Block:
     def __len__(self) -> int:
         return sum(map(len, self.counts.values())) + sum(map(len, self.documents.values()))
 
-    def run(self, shards: int) -> Iterator[tuple]:
+    def run(self, shards: int) -> Iterator[pa.RecordBatch]:
         """Pages of the run, each with ascending terms of one language and shard."""
-        for lang, documents in sorted(self.documents.items()):
-            postings: dict[bytes, list[tuple[bytes, int]]] = defaultdict(list)
-            for (own, source), counts in self.counts.items():
-                if own == lang:
-                    for term, n in counts.items():
-                        postings[term].append((source, n))
+        for lang, documents in self.documents.items():
+            names = sorted(source for own, source in self.counts if own == lang)
+            held = [self.counts[lang, source] for source in names]
             salt = zlib.crc32(lang)
-            dealt: dict[int, list[bytes]] = defaultdict(list)
-            for term in sorted(postings):
-                dealt[zlib.crc32(term, salt) % shards].append(term)
-            for shard, terms in dealt.items():
-                for lo in range(0, len(terms), PAGE):
-                    page = terms[lo : lo + PAGE]
-                    held = [postings[t] for t in page]
-                    flat = [entry for entries in held for entry in entries]
-                    yield (
-                        shard, lang, page[0], page, [documents[t] for t in page], [len(e) for e in held],
-                        [s for s, _ in flat], [n for _, n in flat],
-                    )
+            terms = sorted(documents)
+            shard = np.fromiter((zlib.crc32(t, salt) % shards for t in terms), np.int64, len(terms))
+            order = np.argsort(shard, kind="stable")
+            shard = shard[order]
+            place = np.empty(len(terms), np.int64)
+            place[order] = np.arange(len(terms))
+            number = dict(zip(terms, place.tolist()))
+            terms = [terms[k] for k in order.tolist()]
+            # Postings in the order of their terms, then of their sources.
+            entries = sum(map(len, held))
+            of_term = np.fromiter((number[t] for own in held for t in own), np.int64, entries)
+            counts = np.fromiter((n for own in held for n in own.values()), np.int64, entries)
+            sources = np.repeat(np.arange(len(held), dtype=np.int32), [len(own) for own in held])
+            by_term = np.argsort(of_term, kind="stable")
+            sizes = np.bincount(of_term, minlength=len(terms))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            # A page ends with its shard or after PAGE terms.
+            starts = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1])
+            cuts = np.concatenate([np.arange(a, b, PAGE) for a, b in zip(starts, np.append(starts[1:], len(terms)))])
+            pages = np.append(cuts, len(terms))
+            lists = lambda values, at: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))
+            columns = [
+                pa.array(shard[cuts], pa.int32()), pa.array([lang] * len(cuts), pa.binary()), pa.array([terms[k] for k in cuts.tolist()], pa.binary()),
+                pa.array([names] * len(cuts), pa.list_(pa.binary())), lists(terms, pages),
+                lists(np.fromiter(map(documents.__getitem__, terms), np.int64, len(terms)), pages), lists(sizes.astype(np.int32), pages),
+                lists(sources[by_term], ends[pages]), lists(counts[by_term], ends[pages]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=_arrow(PAGES))
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
@@ -135,20 +149,25 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int) -> Iterator[pa
         yield batch()
 
 
+def _parts(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, size):
+            yield batch.slice(lo, size)
+
+
 def runs(docs: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
     """Pages of all runs of all tasks."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _arrow(PAGES)
         held = Block()
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 for lang, source, text in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns)):
                     held.add(lang, source, text)
                 if len(held) >= block:
-                    yield from _batches(held.run(shards), schema, 256)
+                    yield from _parts(held.run(shards))
                     held = Block()
-        yield from _batches(held.run(shards), schema, 256)
+        yield from _parts(held.run(shards))
 
     raw = [F.coalesce(c, F.lit("")).cast("binary").alias(c) for c in ("lang", "source", "text")]
     return docs.select(*raw).mapInArrow(index, PAGES)
@@ -158,55 +177,57 @@ def runs(docs: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
 
 
 class Page:
-    """An open page: a place in its terms and in their postings."""
+    """An open page: its terms and a place among them. Postings are looked at for wanted terms only."""
 
-    def __init__(self, row: dict):
-        self.row, self.at, self.offset = row, 0, 0
+    def __init__(self, batch: pa.RecordBatch, row: int):
+        one = {name: batch.column(name)[row] for name in ("names", "terms", "documents", "sizes", "sources", "counts")}
+        self.names, self.terms, self.documents = (one[c].as_py() for c in ("names", "terms", "documents"))
+        self.ends = np.concatenate([[0], np.cumsum(one["sizes"].values.to_numpy())])
+        self.sources, self.counts = one["sources"].values.to_numpy(), one["counts"].values.to_numpy()
+        self.at = 0
 
-    def key(self) -> tuple[int, bytes, bytes]:
-        return self.row["shard"], self.row["lang"], self.row["terms"][self.at]
+    def postings(self, at: int) -> Iterator[tuple[bytes, int]]:
+        lo, hi = self.ends[at], self.ends[at + 1]
+        return zip((self.names[k] for k in self.sources[lo:hi].tolist()), self.counts[lo:hi].tolist())
 
-    def take(self) -> tuple[int, list[bytes], list[int]]:
-        """Documents, sources and counts of the term here; goes on to the next."""
-        end = self.offset + self.row["sizes"][self.at]
-        taken = self.row["documents"][self.at], self.row["sources"][self.offset : end], self.row["counts"][self.offset : end]
-        self.at, self.offset = self.at + 1, end
-        return taken
 
-    def ended(self) -> bool:
-        return self.at == len(self.row["terms"])
+def merged_terms(pages: Iterator[Page], least: int) -> Iterator[tuple[bytes, int, Counter[bytes]]]:
+    """Every term of a language and shard in at least ``least`` documents, with these and its counts.
 
+    ``pages`` come in the order of their first terms. The empty term is always there.
+    """
+    heap: list[tuple[bytes, int, Page]] = []
+    current, documents, places = None, 0, []
 
-def merged_terms(pages: Iterator[dict]) -> Iterator[tuple[tuple[int, bytes, bytes], int, Counter[bytes]]]:
-    """Every (shard, lang, term) once, with its documents and counts, from pages in the order of their first terms."""
-    heap: list[tuple[tuple[int, bytes, bytes], int, Page]] = []
-    current, documents, counts = None, 0, Counter()
+    def found() -> Iterator[tuple]:
+        if current is not None and (documents >= least or not current):
+            counts: Counter[bytes] = Counter()
+            for page, at in places:
+                for source, n in page.postings(at):
+                    counts[source] += n
+            yield current, documents, counts
 
     def step() -> Iterator[tuple]:
-        nonlocal current, documents, counts
-        key, order, page = heap[0]
-        if key != current:
-            if current is not None:
-                yield current, documents, counts
-            current, documents, counts = key, 0, Counter()
-        n, sources, found = page.take()
-        documents += n
-        for source, count in zip(sources, found):
-            counts[source] += count
-        if page.ended():
+        nonlocal current, documents, places
+        term, order, page = heap[0]
+        if term != current:
+            yield from found()
+            current, documents, places = term, 0, []
+        documents += page.documents[page.at]
+        places.append((page, page.at))
+        page.at += 1
+        if page.at == len(page.terms):
             heapq.heappop(heap)
         else:
-            heapq.heapreplace(heap, (page.key(), order, page))
+            heapq.heapreplace(heap, (page.terms[page.at], order, page))
 
-    for order, row in enumerate(pages):
-        page = Page(row)
-        while heap and heap[0][0] < page.key():
+    for order, page in enumerate(pages):
+        while heap and heap[0][0] < page.terms[0]:
             yield from step()
-        heapq.heappush(heap, (page.key(), order, page))
+        heapq.heappush(heap, (page.terms[0], order, page))
     while heap:
         yield from step()
-    if current is not None:
-        yield current, documents, counts
+    yield from found()
 
 
 def frequencies(docs: DataFrame, least: int, shards: int | None = None, block: int = BLOCK) -> DataFrame:
@@ -217,10 +238,14 @@ def frequencies(docs: DataFrame, least: int, shards: int | None = None, block: i
     shards = shards or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pages() -> Iterator[tuple[tuple[int, bytes], tuple[pa.RecordBatch, int]]]:
+            for batch in batches:
+                keys = zip(batch.column("shard").to_pylist(), batch.column("lang").to_pylist())
+                yield from ((key, (batch, row)) for row, key in enumerate(keys))
+
         def kept() -> Iterator[tuple]:
-            rows = (row for batch in batches for k in range(batch.num_rows) for row in batch.slice(k, 1).to_pylist())
-            for (_, lang, term), documents, counts in merged_terms(rows):
-                if documents >= least or not term:
+            for (_, lang), own in groupby(pages(), key=lambda page: page[0]):
+                for term, documents, counts in merged_terms((Page(*place) for _, place in own), least):
                     sources = sorted(counts)
                     yield lang, term, documents, sum(counts.values()), sources, [counts[s] for s in sources]
 
