@@ -67,3 +67,32 @@ def test_labelled_projection(spark):
     labels = spark.createDataFrame([(3, 0, "cat"), (99, 0, "none")], "id long, pos int, token string")
     got = N.labelled_projection(df, labels, 1).collect()
     assert [(r["id"], r["token"]) for r in got] == [(3, "cat")] and got[0]["pc1"] == pytest.approx(3 - 9.5)
+
+
+def test_pca_of_vectors_wider_than_the_block(spark, monkeypatch):
+    """More dimensions than trial axes: subspace iteration has to find them."""
+    monkeypatch.setattr(N, "GUARD", 6)
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(300, 40)) * np.linspace(4, 0.5, 40) + 3
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "token_id long, embedding array<double>").repartition(5)
+    fitted = N.fit_pca(df, 3)
+    centred = points - points.mean(axis=0)
+    _, scale, axes = np.linalg.svd(centred, full_matrices=False)
+    assert np.allclose(np.abs(fitted.axes.T @ axes[:3].T), np.eye(3), atol=1e-9)
+    assert np.allclose(fitted.explained_variance, (scale**2 / (scale**2).sum())[:3])
+    got = np.array([r["pc3"] for r in fitted.transform(df).orderBy("token_id").collect()])
+    assert np.allclose(np.abs(got), np.abs(centred @ axes[2]))
+
+
+def test_pca_passes_over_unusable_vectors(spark):
+    good = [(i, [float(i), float(i % 3)]) for i in range(9)]
+    bad = [(90, None), (91, [1.0]), (92, [float("nan"), 1.0]), (93, [None, 1.0]), (94, [])]
+    made = {r["token_id"]: r for r in N.pca_project(spark.createDataFrame(good + bad, VECTORS), 1).collect()}
+    want = {r["token_id"]: r["pc1"] for r in N.pca_project(spark.createDataFrame(good, VECTORS), 1).collect()}
+    assert {k: made[k]["pc1"] for k in want} == pytest.approx(want)
+    assert all(made[k]["pc1"] is None for k, _ in bad)
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)], VECTORS)
+    assert {r["pc1"] for r in N.pca_project(same, 1).collect()} == {0.0} and N.fit_pca(same, 1).explained_variance == [0.0]
+    for empty in (same.limit(0), spark.createDataFrame([(1, None)], VECTORS), spark.createDataFrame([(1, [float("inf")])], VECTORS)):
+        with pytest.raises(ValueError):
+            N.fit_pca(empty)

@@ -164,3 +164,58 @@ def test_align_predictions(spark):
     pred = spark.createDataFrame([(1, "x"), (2, "y")], "id int, prediction string")
     ref = spark.createDataFrame([(2, ["z"]), (3, ["w"])], "id int, references array<string>")
     assert [tuple(r) for r in M.align_predictions(pred, ref).collect()] == [(2, "y", ["z"])]
+
+
+def judged_plainly(scores, target):
+    """best, loss, unusable of one score array."""
+    if scores is None:
+        return None, None, True
+    unusable = any(x is None or math.isnan(x) for x in scores)
+    known = [(i, x) for i, x in enumerate(scores) if x is not None]
+    nans = [i for i, x in known if math.isnan(x)]
+    best = nans[0] if nans else max(known, key=lambda e: (e[1], -e[0]))[0] if known else None
+    if not scores or target is None or not 0 <= target < len(scores) or len(known) < len(scores):
+        return best, None, unusable
+    if nans:
+        return best, math.nan, unusable
+    top = max(scores)
+    return best, top + math.log(sum(math.exp(x - top) for x in scores)) - scores[target], unusable
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 1])
+def test_judged_scores_equal_plain_ones(spark, monkeypatch, cells):
+    monkeypatch.setattr(M, "CELLS", cells)
+    rng = random.Random(2)
+    rows = [(k, [rng.choice([0.0, 1.0, -3.5, 700.0, 2.25]) for _ in range(rng.choice([1, 3, 3, 8]))], rng.randint(-100, 9)) for k in range(80)]
+    rows += [(100, None, 1), (101, [], 0), (102, [None, 1.0], 1), (103, [None, None], 0), (104, [1.0, math.nan, 3.0], 0), (105, [2.0, 2.0], None), (106, [math.nan, None], 1)]
+    df = spark.createDataFrame(rows, "id long, logits array<float>, target int").repartition(3)
+    made = {r["id"]: r for r in M.judge_scores(df).collect()}
+    for k, scores, target in rows:
+        best, loss, unusable = judged_plainly(scores, target)
+        r = made[k]
+        assert (r["best"], r["unusable"]) == (best, unusable)
+        assert (r["loss"] is None) == (loss is None) and (loss is None or r["loss"] == pytest.approx(loss, nan_ok=True))
+
+
+def test_evaluation_reads_the_scores_once(spark, small_vocab):
+    rows = [(i, p, one_hot(p + 4), p + 4) for i in range(20) for p in range(4)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, SCORES)
+    got = EV.evaluation_report(df.mapInArrow(counted, df.schema), small_vocab).collect()
+    assert len(got) == 1 and got[0]["bleu"] == 1.0 and read.value == len(rows)
+
+
+def test_wide_scores(spark):
+    """The width of a real vocabulary."""
+    df = spark.range(40).selectExpr("id", "transform(sequence(0, 31999), i -> cast(sin(i * (id + 1)) as float)) AS logits", "cast(id * 700 as int) AS target")
+    made = {r["id"]: r for r in M.judge_scores(df).collect()}
+    for k in (0, 17, 39):
+        scores = [float(x) for x in df.filter(f"id = {k}").head()["logits"]]
+        best, loss, _ = judged_plainly(scores, k * 700)
+        assert made[k]["best"] == best and made[k]["loss"] == pytest.approx(loss)

@@ -1,5 +1,6 @@
 import datetime as dt
 import shutil
+import time
 
 import pytest
 
@@ -86,3 +87,39 @@ def test_monitor_drops_late_rows(spark, series, tmp_path):
     after = run()
     assert before <= after and 1000.0 not in {v for _, _, v, _ in after}
     assert {r for r in after if r[0] < dt.datetime(2024, 1, 1, 1, 0)} == {r for r in before if r[0] < dt.datetime(2024, 1, 1, 1, 0)}
+
+
+def test_the_vocabulary_is_sent_once_for_all_micro_batches(spark, tmp_path, monkeypatch):
+    from seqprep.operators import encode as E
+
+    folder = {n: str(tmp_path / n) for n in ("in", "out", "state")}
+    for k in range(4):
+        spark.createDataFrame(rows(10 * k, 10 * k + 10), SCHEMA).coalesce(1).write.mode("append").parquet(folder["in"])
+    vocab = build_vocab(select_pair(spark.read.parquet(folder["in"])), ["source", "target"])
+    sent, measured = [], []
+    send, fits = E._send, E._fits
+    monkeypatch.setattr(E, "_send", lambda *a: sent.append(send(*a)) or sent[-1])
+    monkeypatch.setattr(E, "_fits", lambda *a: measured.append(1) or fits(*a))
+    query = prepare_stream(spark, folder["in"], vocab, folder["out"], folder["state"], SCHEMA, OPTS, max_files=1)
+    query.awaitTermination()
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 4
+    assert len(sent) == len(measured) == 1
+    for _ in range(100):  # freed by a thread that waits for the query's end
+        if sent[0]._jbroadcast is not None and not sent[0]._jbroadcast.isValid():
+            break
+        time.sleep(0.1)
+    assert not sent[0]._jbroadcast.isValid()
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark, series):
+    def windows():
+        return sorted(tuple(r) for r in monitor(series).selectExpr("unix_timestamp(window_start)", "run", "mean_value", "n_values").collect())
+
+    before = windows()
+    assert before[0][0] == 1704067200  # 2024-01-01 00:00 in UTC
+    for zone in ("America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert windows() == before
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
