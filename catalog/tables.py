@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
@@ -11,7 +13,8 @@ from seqprep.operators import analysis as N
 from seqprep.operators.encode import encode, token_labels
 from seqprep.operators.vocab import first_token_id
 from seqprep.plans.evaluate import encoded_report
-from seqprep.sources.tables import read_vectors, sample_report as report
+from seqprep.session import shared_dir
+from seqprep.sources.tables import read_parameters, read_vectors, sample_report as report
 from seqprep.streaming.monitor import monitor
 
 
@@ -74,6 +77,22 @@ def parameters(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT 'layer_' || label AS tensor, label <> 0 AS trainable, count(*) AS n_rows, sum(len(embedding))::BIGINT AS n_values,
+              round(sum(list_sum(embedding::DOUBLE[])), 4) AS total FROM embeddings GROUP BY label"""
+)
+def read_parameter_table(spark, sf_dir):
+    """Tensors in chunk rows, written as matrices of one row and read back."""
+    path = f"{shared_dir(spark)}/parameters-{uuid.uuid4().hex}"
+    parameters(spark, sf_dir).withColumn("values", F.array("values")).write.parquet(path)
+    total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return (
+        read_parameters(spark, path)
+        .groupBy("tensor", "trainable")
+        .agg(F.count("*").alias("n_rows"), F.sum(F.size("values")).alias("n_values"), F.round(F.sum(total), 4).alias("total"))
+    )
+
+
 @query(
     """SELECT sum(len(embedding))::BIGINT AS total_params,
               (sum(len(embedding)) FILTER (WHERE label <> 0))::BIGINT AS trainable_params FROM embeddings"""

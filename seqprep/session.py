@@ -52,14 +52,14 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master may go without it: there the one machine is the
+    Only a single-JVM master may go without it: there the one machine is the
     cluster and a temporary folder does. Anywhere else it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = context.applicationId
     if app not in _LOCAL_DIRS:
@@ -71,9 +71,25 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of the copy.
 
     Cuts the lineage without pinning blocks to executors: losing an executor
-    afterwards costs a re-read, never a recomputation.
+    afterwards costs a re-read, never a recomputation. The copies of an
+    application lie in one folder, which ``remove_shared`` removes.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/seqprep-{spark.sparkContext.applicationId}"
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Remove all copies this application has written; frames made from them can't be read any more."""
+    remove_folder(spark, _own_folder(spark))
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder on any file system Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+

@@ -26,6 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqprep.options import PrepOptions
+from seqprep.session import remove_folder
 from seqprep.sources.parallel import input_files
 
 MANIFEST = "file string, path string, size long, modified timestamp, rows long, run string, options string, of long"
@@ -161,4 +162,4 @@ class IncrementalSet:
         files = top.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         for status in files.listStatus(top) if files.exists(top) else ():
             if status.getPath().getName() != but:
-                files.delete(status.getPath(), True)
+                remove_folder(self.spark, status.getPath().toString())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType
 
 from seqprep.operators.sampling import Key, _keys, head_rows
 from seqprep.session import write_shared
@@ -17,6 +18,22 @@ def read_vectors(
     )
 
 
+def read_parameters(
+    spark: SparkSession, path: str, tensor_col: str = "tensor", values_col: str = "values", trainable_col: str | None = "trainable"
+) -> DataFrame:
+    """Named parameter tensors as ``tensor, trainable, values``; other columns are not read.
+
+    A tensor may lie in many rows, each with a part of its values; nested arrays
+    are laid end to end. Without a column that says so every tensor is trainable.
+    """
+    table = spark.read.parquet(path)
+    values, kind = F.col(values_col), table.schema[values_col].dataType
+    while isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType):
+        values, kind = F.flatten(values), kind.elementType
+    trainable = F.lit(True) if trainable_col is None else F.col(trainable_col).cast("boolean")
+    return table.select(F.col(tensor_col).cast("string").alias("tensor"), trainable.alias("trainable"), values.cast("array<float>").alias("values"))
+
+
 def write_metrics(df: DataFrame, path: str, kind: str, fmt: str = "json") -> None:
     """Append a metrics record (one row) under its kind, "train" or "eval"."""
     if fmt not in ("json", "parquet"):

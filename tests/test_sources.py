@@ -165,6 +165,27 @@ def test_read_vectors(spark, tmp_path, capsys):
     assert "ReadSchema: struct<vec:int,e:array<double>>" in capsys.readouterr().out
 
 
+def test_read_parameters(spark, tmp_path, capsys):
+    spark.sql(
+        "SELECT * FROM VALUES ('w', array(array(1.0D, 2.0D), array(3.0D)), 1, 'x'), ('w', array(array(4.0D)), 1, 'x'), ('b', NULL, 0, 'x') AS t(name, v, learned, other)"
+    ).write.parquet(str(tmp_path / "p"))
+    df = T.read_parameters(spark, str(tmp_path / "p"), "name", "v", "learned")
+    assert df.schema.simpleString() == "struct<tensor:string,trainable:boolean,values:array<float>>"
+    assert sorted(map(tuple, df.collect()), key=repr) == [("b", False, None), ("w", True, [1.0, 2.0, 3.0]), ("w", True, [4.0])]
+    df.explain()
+    assert "other" not in capsys.readouterr().out
+    assert {r["trainable"] for r in T.read_parameters(spark, str(tmp_path / "p"), "name", "v", None).collect()} == {True}
+
+
+def test_copies_of_an_application_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    assert session.write_shared(spark.range(3), "x").count() == 3
+    session.write_shared(spark.range(3), "y")
+    assert len(list(tmp_path.glob("seqprep-*/*"))) == 2
+    session.remove_shared(spark)
+    assert not list(tmp_path.iterdir())
+
+
 def test_shared_folder(spark, monkeypatch):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == configured
@@ -176,8 +197,10 @@ def test_shared_folder(spark, monkeypatch):
         class sparkContext:  # noqa: N801
             master = "yarn"
 
-    with pytest.raises(RuntimeError):
-        session.shared_dir(Cluster)
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        Cluster.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            session.shared_dir(Cluster)
 
 
 def test_missing_evaluation_split_is_an_error(spark):
