@@ -18,7 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from seqprep.llm.common import append_struct
 
@@ -38,6 +38,7 @@ SCHEMA = (
     "base_failed boolean, kept boolean, n_lines long, n_lines_removed long, removed_word_chars long, clean_text string"
 )
 FIELDS = [part.split()[0] for part in SCHEMA.split(", ")]
+KEPT, CLEAN_TEXT = FIELDS.index("kept"), FIELDS.index("clean_text")
 
 _boilerplate = re.compile(f"(?i:{BOILERPLATE})", re.ASCII)
 _runs = re.compile(RUNS)
@@ -127,10 +128,31 @@ def line_rules(docs: DataFrame, **options: int) -> DataFrame:
     return append_struct(docs, rules_column(F.col("text"), **options))
 
 
-def keep_clean(docs: DataFrame, **options: int) -> DataFrame:
-    """The documents that are kept, with cleaned texts; columns as given, ``n_chars`` counted anew."""
-    judged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), rules_column(F.col("text"), **options).alias("_rules"))
-    fresh = {"text": F.col("_rules.clean_text"), "n_chars": F.char_length("_rules.clean_text").cast("long")}
-    return judged.filter("_rules.kept").select(
-        *[fresh[c].alias(c) if c in fresh else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
-    )
+#: Documents judged at a time.
+ROWS_AT_ONCE = 256
+
+
+def keep_clean(docs: DataFrame, min_words: int = 50, max_repeat_pct: int = 50, max_lost_pct: int = 50) -> DataFrame:
+    """The documents that are kept, with cleaned texts; columns as given, ``n_chars`` counted anew.
+
+    One Arrow pass that judges a text and drops or cleans its row, so no rule
+    runs twice.
+    """
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema.fields])
+    names = docs.columns
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = names.index("text")
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(lo, ROWS_AT_ONCE)
+                judged = [judge(t or "", min_words, max_repeat_pct, max_lost_pct) for t in part.column(at).to_pylist()]
+                kept = [j[KEPT] for j in judged]
+                texts = [j[CLEAN_TEXT] for j in judged if j[KEPT]]
+                columns = part.filter(pa.array(kept, pa.bool_())).columns
+                columns[at] = pa.array(texts, columns[at].type)
+                if "n_chars" in names:
+                    columns[names.index("n_chars")] = pa.array(list(map(len, texts)), columns[names.index("n_chars")].type)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.mapInArrow(clean, schema)
