@@ -10,31 +10,46 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from seqprep.llm import decontaminate, line_rules, near_dedup, packing, secret_scan  # noqa: E402
-from seqprep.session import write_shared  # noqa: E402
+from seqprep.session import tune, write_shared  # noqa: E402
+
+
+#: Documents that travel to a Python worker at a time, so that whole texts of a batch stay a few megabytes.
+ROWS_PER_BATCH = 1024
+
+
+def settled(spark: SparkSession) -> SparkSession:
+    """The session with the recommended settings and small Arrow batches."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    return spark
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without their failing lines."""
+    settled(spark)
     return line_rules.keep_clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    settled(spark)
     return near_dedup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    settled(spark)
     return decontaminate.drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked."""
+    settled(spark)
     return secret_scan.redact_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
+    settled(spark)
     return packing.pack(docs)
 
 

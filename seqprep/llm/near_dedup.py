@@ -10,18 +10,27 @@
    below the threshold are dropped. Every surviving class keeps its best pair
    first.
 3. Pairs are confirmed on the full sets; links give connected components.
-4. Pairs that still join different components are confirmed next, among them
-   those of large buckets that hold several components. Should such a bucket have
-   very many of these pairs, its members are dealt again by a further band.
+4. Pairs that still join different components are confirmed next, and members of
+   large buckets outside the bucket's largest component with a pivot of it.
+5. Large buckets with common members form crowds. Those of a crowd that are still
+   outside its largest component are held against all of the crowd, block by
+   block: a task takes two blocks of full sets, counts all intersections as
+   products of 0/1 matrices, and returns a spanning forest of the links it found,
+   fewer rows than it got. So no pair is ever a row, and texts that share bands
+   but lie just below the threshold cost products, not rows.
 
 What is guaranteed: links are exact, as they are confirmed on full sets. A pair
-at the threshold 0.8 shares no band with probability 1.3e-7, and its estimate is
-cut off (below 0.6) with probability under 1e-8; both fall quickly above it.
+at the threshold 0.8 shares no band with probability 1.3e-7, and outside crowds
+its estimate is cut off (below 0.6) with probability under 1e-8; both fall quickly
+above it. Every pair that shares a band is tried, unless its ends are connected
+already; within a crowd pairs without a common band are tried as well.
 
 Skew: a bucket's pivot is a minimum that is combined before the shuffle; joins
 with pivots have one row per key on that side and can be split; a group of many
-near copies is linked through its pivots and never meets in one task. Texts are
-shuffled once, narrow.
+near copies is linked through its pivots and never meets in one task. A crowd is
+dealt to blocks of at most about ``CROWD_ROWS`` sets and ``CROWD_BYTES`` bytes; its
+work is the number of members outside the largest component times that of all.
+Texts are shuffled once, narrow.
 
 Defined results: a null or empty text or one without words has an empty set, and
 is linked with nothing; rows without ``doc_id`` are returned unlinked, with a null
@@ -38,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seqprep.llm.common import worker_cache
+from seqprep.llm.common import slices, worker_cache
 from seqprep.llm.components import components, merged
 from seqprep.llm.shingles import Shingler, blocks, common, mix
 from seqprep.session import write_shared
@@ -53,8 +62,11 @@ LEAST_ESTIMATE = 0.6
 SMALL = 32
 #: Larger buckets of the first bands give pairs with a pivot; near copies share most bands, so a few do.
 PIVOT_BANDS = 12
-#: Pairs across its largest component that a crowded bucket may give; beyond, it is dealt again, so many times.
-LIGHT, DEEPEST = 250_000, 4
+#: Sets of a crowd in a block, their bytes, and elements compared at a time.
+CROWD_ROWS, CROWD_BYTES, ELEMENTS = 512, 8 << 20, 4096
+
+#: Documents sketched at a time.
+ROWS_AT_ONCE = 512
 
 # --- sketches ---------------------------------------------------------------------
 
@@ -105,7 +117,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
         sampler = Sampler()
         names = [p.split()[0] for p in SKETCHES.split(", ")]
         types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hashes = shingler.shingles(text) if text else np.zeros(0, np.uint64)
@@ -155,18 +167,17 @@ def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
 
 
 def sized(rows: DataFrame, label: str) -> DataFrame:
-    """``key, node, group, used, band`` with the bucket's size, buckets with more than one group only."""
+    """``key, node, group, band`` with the bucket's size, buckets with more than one group only."""
     found = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("group").alias("_lo"), F.max("group").alias("_hi"))
     mixed = found.filter("_lo <> _hi").select("key", "size")
     return write_shared(rows.join(mixed, "key"), label)
 
 
-def with_outsiders(crowded: DataFrame) -> DataFrame:
-    """Members of mixed buckets with the bucket's largest group (``main``) and its number of pairs across that group."""
-    counts = crowded.groupBy("key", "group").agg(F.count("*").alias("n"))
-    most = counts.groupBy("key").agg(F.max(F.struct("n", "group")).alias("m"), F.sum("n").alias("all"))
-    told = most.select("key", F.col("m.group").alias("main"), ((F.col("all") - F.col("m.n")) * F.col("all")).alias("across"))
-    return crowded.join(told, "key")
+def with_main(members: DataFrame) -> DataFrame:
+    """Members (``key, node, group``) with the largest group of their key (``main``)."""
+    counts = members.groupBy("key", "group").agg(F.count("*").alias("n"))
+    most = counts.groupBy("key").agg(F.max(F.struct("n", "group")).alias("m"))
+    return members.join(most.select("key", F.col("m.group").alias("main")), "key")
 
 
 def outsider_stars(members: DataFrame) -> DataFrame:
@@ -177,28 +188,98 @@ def outsider_stars(members: DataFrame) -> DataFrame:
     return outside.join(pivots.select("key", F.col("p.node").alias("b")), "key").select("a", "b")
 
 
-def outsider_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every pair of different groups that shares a bucket and that the odd sketches let pass, once.
-
-    One side is outside the bucket's largest group; the sketches and the pair's
-    first common bucket are looked at inside the join, so a pair is made once.
+def regrouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, node, band`` with the component of the node as group."""
+    known = labels.select("node", F.col("label").alias("_label"))
+    return rows.select("key", "node", "band").join(known, "node", "left").select("key", "node", "band", F.coalesce("_label", "node").alias("group"))
+
+
+# --- crowds -----------------------------------------------------------------------
+
+
+def crowds(buckets: DataFrame) -> DataFrame:
+    """``key, node``: the members (``key, node``) of buckets that are connected through common members, under one key."""
+    hubs = buckets.groupBy("key").agg(F.min("node").alias("b"))
+    spokes = buckets.join(hubs, "key").select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
+    return components(spokes).select(F.col("label").alias("key"), "node")
+
+
+def forest(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links (a[x], b[y])."""
+    parent: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while parent.setdefault(node, node) != node:
+            parent[node] = node = parent[parent[node]]
+        return node
+
+    kept = []
+    for k, (left, right) in enumerate(zip(a[x].tolist(), b[y].tolist())):
+        one, other = root(left), root(right)
+        if one != other:
+            parent[one] = other
+            kept.append(k)
+    return a[x[kept]], b[y[kept]]
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    sizes = [len(s) for s in (*left, *right)]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, element, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    shared = times[element] > 1  # the others are in one set only
+    renumbered = np.cumsum(times > 1) - 1
+    owner, element = owner[shared], renumbered[element[shared]]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(element[-1]) + 1 if len(element) else 0, ELEMENTS):
+        a, b = np.searchsorted(element, [lo, lo + ELEMENTS])
+        cells = np.zeros((len(sizes), ELEMENTS), np.float32)
+        cells[owner[a:b], element[a:b] - lo] = 1
+        both += cells[: len(left)] @ cells[len(left) :].T
+    return both.astype(np.int64)
+
+
+def crowd_links(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect members outside their crowd's largest group with any member of the crowd.
+
+    ``crowd``: key, node, group. A member outside meets every block of its crowd
+    once; each pair of blocks gives a spanning forest of its links.
     """
-    own = members.groupBy("node").agg(F.collect_set("key").alias("keys")).join(nodes.select("node", "sketch"), "node")
-    full = members.join(own, "node")
-    columns = ["key", "node", "group", "keys", "sketch"]
-    outside = full.filter("group <> main").select(*columns).toDF("key", "a", "_ga", "_ka", "_sa")
-    every = full.select(*columns, (F.col("group") == F.col("main")).alias("_in")).toDF("_key", "b", "_gb", "_kb", "_sb", "_in")
-    once = (F.col("key") == F.col("_key")) & (F.col("_ga") != F.col("_gb")) & (F.col("_in") | (F.col("a") < F.col("b")))
-    first = F.array_min(F.array_intersect("_ka", "_kb")) == F.col("key")
-    alike = differing(F.col("_sa"), F.col("_sb")) <= most_differing_bits()
-    met = outside.join(every, once & alike & first)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    members = with_main(crowd).join(sets, "node").withColumn("outside", F.col("group") != F.col("main"))
 
+    def blocks_of(count: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(count / CROWD_ROWS), F.ceil(size / CROWD_BYTES)).cast("int")
 
-def regrouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, node`` with the component of the node as group."""
-    known = labels.select("node", F.col("label").alias("group"))
-    return rows.select("key", "node", "used", "band").join(known, "node", "left").select("*", F.coalesce("group", "node").alias("_g")).drop("group").withColumnRenamed("_g", "group")
+    size = F.octet_length("hashes").cast("long")
+    asked = F.when(F.col("outside"), 1)
+    figures = members.groupBy("key").agg(
+        blocks_of(F.count("*"), F.sum(size)).alias("all"),
+        blocks_of(F.count(asked), F.coalesce(F.sum(F.when(F.col("outside"), size)), F.lit(0))).alias("asking"),
+    )
+    dealt = members.join(figures.filter("asking > 0"), "key")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    columns = ["node", "group", "hashes"]
+    asking = dealt.filter("outside").select("key", block("asking").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), *columns, F.lit(True).alias("asks"))
+    asked_of = dealt.select("key", F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("i"), block("all").alias("j"), *columns, F.lit(False).alias("asks"))
+
+    def link(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        node, group = table.column("node").to_numpy(), table.column("group").to_numpy()
+        held = [np.frombuffer(v.as_buffer(), np.uint64) for chunk in table.column("hashes").chunks for v in chunk]
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        x = y = np.zeros(0, np.int64)
+        if len(left) and len(right):
+            both = intersections([held[k] for k in left], [held[k] for k in right])
+            sizes = np.array([len(s) for s in held], np.int64)
+            together = sizes[left][:, None] + sizes[right][None, :] - both
+            linked = (100 * both >= percent * together) & (group[left][:, None] != group[right][None, :])
+            x, y = np.nonzero(linked)
+        a, b = forest(node[left], node[right], x, y) if len(x) else (x, y)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return asking.unionByName(asked_of).groupBy("key", "i", "j").applyInArrow(link, "a long, b long")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -206,7 +287,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = worker_cache(f"shingler_{width}", lambda: Shingler(width))
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             sets = [shingler.shingles(t or "") for t in batch.column(0).to_pylist()]
             keys = [fingerprint(s) for s in sets]
             columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
@@ -244,44 +325,32 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80, small: i
         F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     nodes = write_shared(classes.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"), F.col("node").alias("group")).withColumn("used", F.array("key"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"), F.col("node").alias("group"))
     members = sized(keyed, "buckets")
 
     pairs = write_shared(estimated(bucket_pairs(members, small), nodes), "pairs")
-    crowded = members.filter(F.col("size") > small).select("key", "node", "used", "band")
+    crowded = members.filter(F.col("size") > small).select("key", "node", "band")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     sets = write_shared(full_sets(docs, nodes, wanted, width), "sets")
 
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "bits").union(pairs.select("b", "a", "b", "bits"))
     best = ends.groupBy("node").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     links = write_shared(confirmed(best, sets, percent), "links")
-    labels, depth, last = components(links), 1, best
-
-    while True:
-        # Pairs between different components that have not been tried; members outside a crowded bucket's largest component with a pivot of it.
-        mixed = with_outsiders(sized(regrouped(crowded, labels), "crowded"))
-        own = labels.select("node", "label")
-        rest = pairs.join(own.toDF("a", "_la"), "a", "left").join(own.toDF("b", "_lb"), "b", "left")
-        rest = rest.filter(F.coalesce("_la", "a") != F.coalesce("_lb", "b")).join(last, ["a", "b"], "left_anti").select("a", "b")
-        stars = estimated(outsider_stars(mixed), nodes).select("a", "b")
-        tried = write_shared(confirmed(rest.union(stars).distinct(), sets, percent), "links")
-        labels = write_shared(merged(labels, tried), "labels")
-        # Those that are still outside, with every member; should that be very many pairs, deal the members again by a further band.
-        mixed = with_outsiders(sized(regrouped(crowded, labels), "crowded"))
-        light = F.col("across") <= (LIGHT if depth < DEEPEST else 2**62)
-        tried = write_shared(confirmed(outsider_pairs(mixed.filter(light), nodes), sets, percent), "links")
-        labels = write_shared(merged(labels, tried), "labels")
-        crowded = write_shared(mixed.filter(~light).select("key", "node", "used", "band"), "crowded")
-        if crowded.isEmpty():
-            break
-        depth += 1
-        bands = nodes.select("node", F.explode("bands").alias("_more"))
-        further = regrouped(crowded, labels).join(bands, "node").filter(~F.array_contains("used", F.col("_more")))
-        further = further.select("node", "group", F.array_sort(F.array_append("used", F.col("_more"))).alias("used"), F.lit(0).alias("band"))
-        members = sized(further.select(F.xxhash64("used").alias("key"), "node", "group", "used", "band").distinct(), "buckets")
-        pairs = write_shared(estimated(bucket_pairs(members, small), nodes), "pairs")
-        last = pairs.select("a", "b").limit(0)
-        crowded = members.filter(F.col("size") > small).select("key", "node", "used", "band")
+    labels = components(links)
+
+    # Pairs between different components that have not been tried; members outside a large bucket's largest component with a pivot of it.
+    own = labels.select("node", "label")
+    rest = pairs.join(own.toDF("a", "_la"), "a", "left").join(own.toDF("b", "_lb"), "b", "left")
+    rest = rest.filter(F.coalesce("_la", "a") != F.coalesce("_lb", "b")).join(best, ["a", "b"], "left_anti").select("a", "b")
+    mixed = with_main(sized(regrouped(crowded, labels), "crowded"))
+    stars = estimated(outsider_stars(mixed), nodes).select("a", "b")
+    tried = write_shared(confirmed(rest.union(stars).distinct(), sets, percent), "links")
+    labels = write_shared(merged(labels, tried), "labels")
+
+    # Those that are still outside, with all of their crowd.
+    mixed = sized(regrouped(crowded, labels), "crowded")
+    found = regrouped(crowds(mixed.select("key", "node")).withColumn("band", F.lit(0)), labels)
+    labels = write_shared(merged(labels, write_shared(crowd_links(found, sets, percent), "links")), "labels")
 
     named = labels.join(nodes.select("node", "first_id"), "node")
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))

@@ -27,7 +27,7 @@ class Shingler:
     one shingle; a text without words has none.
     """
 
-    MOST_WORDS = 500_000
+    MOST_WORDS = 100_000
 
     def __init__(self, width: int):
         self.width = width

@@ -149,13 +149,39 @@ def near_copies():
     return made
 
 
-@pytest.mark.parametrize("light", [0, 250_000])
-def test_crowded_buckets_lose_no_link(spark, monkeypatch, light):
-    monkeypatch.setattr(near_dedup, "LIGHT", light)
+@pytest.mark.parametrize("rows, size, elements", [(512, 8 << 20, 4096), (7, 8 << 20, 50), (512, 5000, 3)])
+def test_crowded_buckets_lose_no_link(spark, monkeypatch, rows, size, elements):
+    for name, value in (("CROWD_ROWS", rows), ("CROWD_BYTES", size), ("ELEMENTS", elements)):
+        monkeypatch.setattr(near_dedup, name, value)
     made = near_copies()
     assert as_rows(near_dedup.near_duplicates(documents(spark, made), small=3)) == plain_components(made, 2)
 
 
+def test_texts_below_the_threshold_give_no_pair_rows(spark, monkeypatch):
+    """Copies of one text, each with eight words of its own: no two are similar, though all share bands."""
+    rng, words = random.Random(3), prose(70, 120).split()
+    made = []
+    for k in range(120):
+        own = list(words)
+        for place in rng.sample(range(len(own)), 8):
+            own[place] = f"w{rng.randrange(10**9)}"
+        made.append((k, " ".join(own)))
+    tried = []
+    confirmed = near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, *a: tried.append(pairs.count()) or confirmed(pairs, *a))
+    assert as_rows(near_dedup.near_duplicates(documents(spark, made))) == plain_components(made, 2)
+    assert sum(tried) <= 120 * near_dedup.PIVOT_BANDS * 3
+
+
+def test_intersections_and_forest():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(30)]
+    got = near_dedup.intersections(sets[:10], sets[10:])
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[10:]] for a in sets[:10]]).all()
+    a, b = near_dedup.forest(np.arange(5), np.arange(5, 9), np.array([0, 0, 1, 1, 4]), np.array([0, 1, 0, 1, 3]))
+    assert list(zip(a, b)) == [(0, 5), (0, 6), (1, 5), (4, 8)]
+
+
 def test_near_duplicates_of_nothing_and_of_clashing_columns(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
     docs = documents(spark)
@@ -291,6 +317,45 @@ def test_decontamination_is_native(spark, capsys):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+# --- quality: weights and calibration against plain versions ------------------------
+
+
+def test_ridge_weights_equal_a_dense_solve(spark):
+    rng = np.random.default_rng(4)
+    n = 400
+    table = rng.normal(size=(n, len(quality.FIGURES))).astype(np.float32)
+    label = (table[:, 0] + 0.3 * rng.normal(size=n) > 0).astype(float)
+    rows = [(k, *map(float, table[k]), float(label[k])) for k in range(n)]
+    columns = ["doc_id long", *(f"{f} float" for f in quality.FIGURES), "label double"]
+    examples = spark.createDataFrame(rows, ", ".join(columns)).repartition(7)
+    kernel = quality.Kernel(table.mean(axis=0), table.std(axis=0), 50)
+    total = quality.normal_equations(examples, kernel)
+    z = kernel(table.astype(float))
+    assert np.allclose(total[:-1, :-1], z.T @ z) and np.allclose(total[:-1, -1], z.T @ label)
+    # Ridge as least squares with one more row per weight.
+    strength = 0.7
+    dense = np.linalg.lstsq(np.vstack([z, np.sqrt(strength) * np.eye(z.shape[1])]), np.append(label, np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(quality.ridge(total, strength), dense, atol=1e-8)
+    raw = {r.doc_id: r.raw for r in quality.raw_scores(examples, kernel, dense).collect()}
+    assert np.allclose([raw[k] for k in range(n)], np.clip(z @ dense, quality.LOW, quality.HIGH), atol=1e-8)
+
+
+def test_calibration_equals_plain_pooling():
+    rng = random.Random(6)
+    for _ in range(30):
+        counts, positives = np.zeros(quality.BINS), np.zeros(quality.BINS)
+        for i in rng.sample(range(quality.BINS), 12):
+            counts[i] = rng.randint(1, 9)
+            positives[i] = rng.randint(0, int(counts[i]))
+        centres, shares = quality.isotonic(counts, positives)
+        # The fit of a bin is the largest of the smallest means over the runs around it.
+        used = np.flatnonzero(counts).tolist()
+        mean = lambda a, b: positives[used[a] : used[b] + 1].sum() / counts[used[a] : used[b] + 1].sum()
+        plain = [max(min(mean(a, b) for b in range(k, len(used))) for a in range(k + 1)) for k in range(len(used))]
+        assert np.allclose(sorted(set(np.round(plain, 9))), np.unique(np.round(shares, 9)))
+        assert (np.diff(shares) >= 0).all() and (np.diff(centres) > 0).all()
+
+
 # --- conversations ------------------------------------------------------------------
 
 TREE = "tree long, id long, parent long, role string, text string, score double"
