@@ -47,7 +47,13 @@ BASE = (
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
 RULES = BASE + (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # The whole block: header lines, base64 text (line ends may be escaped) and, where it is there, the end line.
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:(?:[\x20\t\r\n]|\\[rn])*(?:[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]{1,15}={1,2}|(?:Proc-Type|DEK-Info|Comment):[^\r\n]*))*"
+        r"(?:(?:[\x20\t\r\n]|\\[rn])*[A-Za-z0-9+/]{0,76}={0,2}(?:[\x20\t\r\n]|\\[rn])*-----END [A-Z ]*PRIVATE KEY-----)?",
+    ),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
