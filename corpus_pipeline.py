@@ -1,4 +1,11 @@
-"""The corpus pipeline: quality rules, near-duplicates, decontamination, secrets, packing."""
+"""The corpus pipeline: quality rules, near-duplicates, decontamination, secrets, packing.
+
+Defined results: null, empty and short texts are rejected by the first stage, so
+no later one sees them; rows without ``doc_id`` are no near-duplicates of others;
+rows that share a ``doc_id`` are judged one by one, and leave together as
+near-duplicates or leaks; an empty table gives no pieces; other columns, whatever
+their names, travel along to the last stage.
+"""
 
 from __future__ import annotations
 

@@ -5,6 +5,7 @@ import pytest
 
 from seqprep.llm import ORACLES, QUERIES, secret_scan
 from tests.conftest import SF_SMALL
+from tests.llm.cases import clashing, documents, rows
 from tests.llm.test_corpus import check_packing, plain_components, plain_leaks
 from tools.check import TABLES, rows_of
 
@@ -30,6 +31,27 @@ def test_query_with_sql(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, result.fetchall())
 
 
+def test_pipeline_takes_awkward_tables(spark, tmp_path):
+    import corpus_pipeline as P
+
+    benchmark = [(1, rows()[4][1]), (2, None), (None, "")]
+    for name, made in (("awkward", rows()), ("empty", [])):
+        folder = str(tmp_path / name)
+        clashing(documents(spark, made)).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        pieces = P.run(spark, folder).collect()
+        if not made:
+            assert pieces == []
+            continue
+        # 1 to 3 are copies of 0, as is the row without id; 4 and 14 hold the item; 6 to 10 and 13 are no prose.
+        kept = {r.doc_id for r in pieces}
+        assert 0 in kept and {11, 16} <= kept and not kept & {1, 2, 3, 4, 6, 7, 8, 9, 10, 13, 14}
+        by = {}
+        for r in pieces:
+            by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert all(sum(n for _, n in own) <= 2048 for own in by.values())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
 
