@@ -58,8 +58,8 @@ SKETCH_LONGS = 8
 SKETCH_BITS = 64 * SKETCH_LONGS
 #: Pairs whose estimated similarity is below this are not confirmed.
 LEAST_ESTIMATE = 0.6
-#: A bucket of at most this many classes gives all its pairs.
-SMALL = 32
+#: A bucket of at most this many classes gives all its pairs: with 40 bands a class is in 300 of them at most.
+SMALL = 16
 #: Larger buckets of the first bands give pairs with a pivot; near copies share most bands, so a few do.
 PIVOT_BANDS = 12
 #: Sets of a crowd in a block, their bytes, and elements compared at a time.
@@ -162,30 +162,41 @@ def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
     many = members.filter((F.col("size") > small) & (F.col("band") < PIVOT_BANDS))
     order = F.xxhash64("key", "node")
     pivots = many.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "group")).alias("p")).select("key", "p.node", "p.group")
-    star = many.select("key", F.col("node").alias("a"), F.col("group").alias("_ga")).join(pivots.toDF("key", "b", "_gb"), "key")
-    return every.unionByName(star.filter("a <> b and _ga <> _gb").select("a", "b"))
+    star = with_row_of_key(many.select("key", "node", "group"), pivots.toDF("key", "b", "_gb"))
+    return every.unionByName(star.filter("node <> b and group <> _gb").select(F.col("node").alias("a"), "b"))
 
 
 def sized(rows: DataFrame, label: str) -> DataFrame:
     """``key, node, group, band`` with the bucket's size, buckets with more than one group only."""
     found = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("group").alias("_lo"), F.max("group").alias("_hi"))
     mixed = found.filter("_lo <> _hi").select("key", "size")
-    return write_shared(rows.join(mixed, "key"), label)
+    return write_shared(with_row_of_key(rows, mixed), label)
 
 
 def with_main(members: DataFrame) -> DataFrame:
     """Members (``key, node, group``) with the largest group of their key (``main``)."""
     counts = members.groupBy("key", "group").agg(F.count("*").alias("n"))
     most = counts.groupBy("key").agg(F.max(F.struct("n", "group")).alias("m"))
-    return members.join(most.select("key", F.col("m.group").alias("main")), "key")
+    return with_row_of_key(members, most.select("key", F.col("m.group").alias("main")))
+
+
+#: Groups over which the members of one key are spread.
+SALTS = 16
+
+
+def with_row_of_key(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """Members (``key, node``) with the one row of their key, a key's members spread over ``SALTS`` groups."""
+    salted = rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    return members.withColumn("_salt", salt).join(salted, ["key", "_salt"]).drop("_salt")
 
 
 def outsider_stars(members: DataFrame) -> DataFrame:
     """Each member outside its bucket's largest group with a pivot of that group."""
-    outside = members.filter("group <> main").select("key", F.col("node").alias("a"))
+    outside = members.filter("group <> main").select("key", "node")
     order = F.xxhash64("key", "node")
     pivots = members.filter("group = main").groupBy("key").agg(F.min(F.struct(order.alias("o"), "node")).alias("p"))
-    return outside.join(pivots.select("key", F.col("p.node").alias("b")), "key").select("a", "b")
+    return with_row_of_key(outside, pivots.select("key", F.col("p.node").alias("b"))).select(F.col("node").alias("a"), "b")
 
 
 def regrouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -200,7 +211,7 @@ def regrouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def crowds(buckets: DataFrame) -> DataFrame:
     """``key, node``: the members (``key, node``) of buckets that are connected through common members, under one key."""
     hubs = buckets.groupBy("key").agg(F.min("node").alias("b"))
-    spokes = buckets.join(hubs, "key").select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
+    spokes = with_row_of_key(buckets, hubs).select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
     return components(spokes).select(F.col("label").alias("key"), "node")
 
 
@@ -258,7 +269,7 @@ def crowd_links(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         blocks_of(F.count("*"), F.sum(size)).alias("all"),
         blocks_of(F.count(asked), F.coalesce(F.sum(F.when(F.col("outside"), size)), F.lit(0))).alias("asking"),
     )
-    dealt = members.join(figures.filter("asking > 0"), "key")
+    dealt = with_row_of_key(members, figures.filter("asking > 0"))
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     columns = ["node", "group", "hashes"]
     asking = dealt.filter("outside").select("key", block("asking").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), *columns, F.lit(True).alias("asks"))
