@@ -169,15 +169,23 @@ class WordMachine:
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.rank = {(raw(a), raw(b)): r for r, (a, b) in enumerate(pairs)}
         self.longest = max(map(len, self.ids))
+        # Lengths of the tokens that end with two given bytes, longest first.
+        ends: dict[bytes, set[int]] = {}
+        for token in self.ids:
+            ends.setdefault(token[-2:], set()).add(len(token))
+        self.widths = {end: sorted(found | {1}, reverse=True) for end, found in ends.items()}
         self.pair_fits: dict[tuple[bytes, bytes], bool] = {}
         self.words: dict[str, int] = {}
         self.forget_states()
 
-    def forget_states(self) -> None:
+    def forget_states(self, path: list[int] = []) -> list[int]:
+        """Empty the tables but for the states of ``path``; returns their new numbers."""
+        kept = [(self.last[s], self.count[s]) for s in path if s]
         # Transitions by ``state << 8 | byte``; per state its last token and the tokens so far. State 0 has read nothing.
         self.next: dict[int, int] = {}
-        self.last: list[bytes] = [b""]
-        self.count: list[int] = [0]
+        self.last: list[bytes] = [b"", *(token for token, _ in kept)]
+        self.count: list[int] = [0, *(n for _, n in kept)]
+        return [0] * (len(path) - len(kept)) + list(range(1, len(kept) + 1))
 
     def merged(self, text: bytes) -> list[bytes]:
         """Plain merging, lowest rank first, leftmost first."""
@@ -198,32 +206,39 @@ class WordMachine:
             known = self.pair_fits[left, right] = self.merged(left + right) == ([left, right] if left else [right])
         return known
 
-    def add(self, path: list[int], prefix: bytes) -> int:
-        """The new state after ``prefix``; ``path``: the states after its shorter prefixes."""
-        size = len(prefix)
-        for width in range(min(size, self.longest), 0, -1):
-            token = prefix[size - width :]
-            before = path[size - width]
-            if token in self.ids and self.fits(self.last[before], token):
-                self.last.append(token)
-                self.count.append(self.count[before] + 1)
-                return len(self.last) - 1
-        raise ValueError(f"no token ends {prefix!r}")
+    def add(self, path: list[int], tail: bytes) -> int:
+        """The new state after a prefix that ends with ``tail``; ``path``: the states after the prefixes before."""
+        for width in self.widths.get(tail[-2:], (1,)):
+            if width <= len(tail):
+                token, before = tail[-width:], path[-width]
+                if token in self.ids and self.fits(self.last[before], token):
+                    self.last.append(token)
+                    self.count.append(self.count[before] + 1)
+                    return len(self.last) - 1
+        raise ValueError(f"no token ends {tail!r}")
 
     def tokens(self, word: str) -> int:
-        """Tokens of a word: the sum of the annotations along its path."""
+        """Tokens of a word: the sum of the annotations along its path.
+
+        Only as much of the word and of its path is looked at as the longest
+        token needs, and the tables are emptied within a word too, so a word may
+        be as long as it likes.
+        """
         raw = word.encode("utf-8")
-        path, emitted = [0], 0
+        path, emitted, room = [0], 0, self.longest
         for i, byte in enumerate(raw):
             state = path[-1]
             after = self.next.get(state << 8 | byte)
             if after is None:
-                after = self.add(path, raw[: i + 1])
+                if len(self.last) > self.MOST_STATES:
+                    path = self.forget_states(path[-room:])
+                    state = path[-1]
+                after = self.add(path, raw[max(0, i + 1 - room) : i + 1])
                 self.next[state << 8 | byte] = after
             emitted += self.count[after] - self.count[state]
             path.append(after)
-        if len(self.last) > self.MOST_STATES:
-            self.forget_states()
+            if len(path) > 64 * room:
+                path = path[-room:]
         if len(self.words) > self.MOST_WORDS:
             self.words.clear()
         if len(raw) <= 64:
