@@ -46,12 +46,35 @@ def drop_empty_pairs(df: DataFrame) -> DataFrame:
 # --- n-gram counts --------------------------------------------------------
 
 
+#: Words whose n-grams are counted at a time; a row with more is counted alone.
+WORDS_AT_ONCE = 1 << 17
+
+
 def _count_matches(hyp: pa.Array, refs: pa.Array) -> pa.Array:
     """Clipped n-gram matches of every row of a batch, orders 1 to 4.
 
+    The batch is worked through a run of rows at a time, so what is built from it
+    stays small, however many rows Spark sends at once.
+    """
+    rows = len(hyp)
+    before = np.cumsum([0, *refs.flatten().value_lengths().to_numpy(zero_copy_only=False)])
+    ends = np.cumsum(refs.value_lengths().to_numpy(zero_copy_only=False))
+    # Words of all rows up to and including each.
+    total, cuts = np.cumsum(hyp.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) + before[ends], [0]
+    while cuts[-1] < rows:
+        done = total[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(max(int(np.searchsorted(total, done + WORDS_AT_ONCE, "right")), cuts[-1] + 1))
+    parts = [_run_matches(hyp.slice(lo, hi - lo), refs.slice(lo, hi - lo)) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    matches = np.concatenate([np.zeros((MAX_ORDER, 0), np.int64), *parts], axis=1)
+    return pa.StructArray.from_arrays([pa.array(m) for m in matches], [f"m{n}" for n in _ORDERS])
+
+
+def _run_matches(hyp: pa.Array, refs: pa.Array) -> np.ndarray:
+    """The matches of some rows, an array per order.
+
     Words get integer codes; an n-gram's code comes from the code of its first
     n-1 words and of its last one, renumbered each time. Codes are exact (no
-    hashing) and carry the row, so one sort per order counts the whole batch.
+    hashing) and carry the row, so one sort per order counts all the rows.
     """
     rows = len(hyp)
     ref_words, ref_lens = refs.flatten(), refs.value_lengths().to_numpy(zero_copy_only=False)
@@ -84,7 +107,7 @@ def _count_matches(hyp: pa.Array, refs: pa.Array) -> pa.Array:
         np.maximum.at(in_ref, per_ref % max(len(unique), 1), times)
         clipped = np.minimum(in_hyp, in_ref)
         matches[n] = np.bincount(gram_row, weights=clipped, minlength=rows)
-    return pa.StructArray.from_arrays([pa.array(m) for m in matches], [f"m{n}" for n in _ORDERS])
+    return matches
 
 
 def ngram_counts(

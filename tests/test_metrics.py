@@ -1,7 +1,9 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,37 @@ def test_counts_against_brute_force(spark, batch):
         assert {c: per_row[i][c] for c in M.COUNTERS} == brute_force([pair])
 
 
+def test_memory_does_not_follow_the_batch():
+    """A batch as large as Spark sends it by default needs little more than one of an eighth of its rows."""
+    rng = random.Random(6)
+    kind = pa.list_(pa.string())
+
+    def counted(rows):
+        texts = [[f"w{rng.randint(0, 5000)}" for _ in range(400)] for _ in range(rows)]
+        hyp, refs = pa.array(texts, kind), pa.array([[t] for t in texts], pa.list_(kind))
+        tracemalloc.start()
+        out = M._count_matches(hyp, refs)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert out.field(0).to_pylist() == [400] * rows and out.field(3).to_pylist() == [397] * rows
+        return peak
+
+    assert counted(4000) < 2 * counted(500)
+
+
+@pytest.mark.parametrize("at_once", [1, 5, 40])
+def test_runs_of_rows_give_the_same_counts(monkeypatch, at_once):
+    rng = random.Random(7)
+    text = lambda: [rng.choice("a b c".split()) for _ in range(rng.randint(0, 12))]
+    pairs = [(text(), [text() for _ in range(rng.randint(0, 3))]) for _ in range(80)]
+    kind = pa.list_(pa.string())
+    hyp, refs = pa.array([h for h, _ in pairs], kind), pa.array([r for _, r in pairs], pa.list_(kind))
+    monkeypatch.setattr(M, "WORDS_AT_ONCE", at_once)
+    for lo, hi in ((0, 80), (3, 50), (7, 7)):
+        got = M._count_matches(hyp.slice(lo, hi - lo), refs.slice(lo, hi - lo)).to_pylist()
+        assert got == [{f"m{n}": brute_force([p])[f"m{n}"] for n in range(1, 5)} for p in pairs[lo:hi]]
+
+
 def test_nulls_count_as_empty(spark):
     df = spark.createDataFrame([(1, None, ["a"]), (2, "a", None), (3, "a", [None])], PAIR)
     row = M.ngram_matches(df).head()
