@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import sql as Q
 from catalog.registry import documents, ids_text, long, query, table
+from seqprep.functions import arrays as A
 from seqprep.functions.text import words
 from seqprep.operators import collate as C
 from seqprep.options import PrepOptions
@@ -31,15 +32,13 @@ _MASKED = "list_transform({}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END)"
 
 def rows(spark, sf_dir):
     ids = F.transform(words(F.col("text")), lambda w: F.length(w))
-    eos = F.array(F.lit(3))
-    coded = documents(spark, sf_dir).select(
-        "id", ids.alias("input_ids"), F.concat(ids, eos).alias("labels")
-    )
-    return coded.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+    own = documents(spark, sf_dir).select("id", ids.alias("input_ids"))
+    labels = A.append_eos(F.col("input_ids"))
+    return own.withColumns({"labels": labels, "attention_mask": A.attention_mask(F.col("input_ids"))})
 
 
-def batched(spark, sf_dir):
-    return C.assign_batches(rows(spark, sf_dir), 32)
+def batched(spark, sf_dir, measure=()):
+    return C.assign_batches(rows(spark, sf_dir), 32, measure=measure)
 
 
 def _place():
@@ -81,7 +80,7 @@ _padded("pad_batch_labels", "labels", "labels")
 
 def _collated(name: str, target: str, alignment: str) -> None:
     def run(spark, sf_dir):
-        fed = C.collate(batched(spark, sf_dir), alignment=alignment)
+        fed = C.collate(batched(spark, sf_dir, measure=("input_ids", "labels")), alignment=alignment)
         return fed.select(*_place(), *[ids_text(c).alias(c) for c in C.COLLATED_COLUMNS])
 
     run.__name__ = name

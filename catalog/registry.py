@@ -35,8 +35,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ids_text(ids: str | Column) -> Column:
-    """Array as text, so that both engines print it alike."""
-    return F.array_join(F.transform(ids, lambda x: x.cast("string")), " ")
+    """Array as text, so that both engines print it alike.
+
+    The cast of a whole array is compiled code; a function per element is not.
+    """
+    return F.array_join((F.col(ids) if isinstance(ids, str) else ids).cast("array<string>"), " ")
 
 
 def long(col: str | Column) -> Column:

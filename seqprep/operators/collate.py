@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from seqprep.functions import arrays as A
 from seqprep.operators.guards import require_columns
 from seqprep.operators.sampling import MAX_DIGITS, Key, _keys, hash_index, order_hash, small_table, sorted_index
-from seqprep.options import BOS_ID, PAD_ID
+from seqprep.options import BOS_ID, IGNORE_ID, PAD_ID
 from seqprep.session import write_shared
 
 COLLATED_COLUMNS = ("src_tokens", "tgt_tokens_input", "tgt_tokens_target", "attention_mask")
@@ -142,11 +142,15 @@ def pad_batch(df: DataFrame, cols: str | Sequence[str], pad: int = PAD_ID, by: s
     the rows are clustered. A batch is small by definition.
     """
     names = [cols] if isinstance(cols, str) else list(cols)
+    padded = {c: A.pad_to(F.col(c), F.col(_longest(c)), pad) for c in names}
+    return _measured(df, names, by).withColumns(padded).drop(*[_longest(c) for c in names])
+
+
+def _measured(df: DataFrame, names: Sequence[str], by: str) -> DataFrame:
+    """The rows with the longest length per batch of each named column."""
     order = ["pos_in_batch"] if "pos_in_batch" in df.columns else [by]
     whole = Window.partitionBy(*_batch_columns(df, by)).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    unknown = {_longest(c): F.max(F.size(c)).over(whole) for c in names if _longest(c) not in df.columns}
-    padded = {c: A.pad_to(F.col(c), F.col(_longest(c)), pad) for c in names}
-    return df.withColumns(unknown).withColumns(padded).drop(*[_longest(c) for c in names])
+    return df.withColumns({_longest(c): F.max(F.size(c)).over(whole) for c in names if _longest(c) not in df.columns})
 
 
 def stack_batches(df: DataFrame, cols: Sequence[str] = COLLATED_COLUMNS, by: str = "batch_id") -> DataFrame:
@@ -168,15 +172,17 @@ def collate(
     if alignment not in ("reference", "aligned"):
         raise ValueError(f"unknown alignment {alignment!r}")
     require_columns(df, ("input_ids", "attention_mask", "labels", by, "pos_in_batch"))
-    padded = pad_batch(df, ["input_ids", "labels"], pad, by)
-    labels = F.col("labels")
-    target = A.target_tail(labels) if alignment == "reference" else labels
-    return padded.select(
-        *[c for c in padded.columns if c not in ("input_ids", "attention_mask", "labels")],
-        F.col("input_ids").alias("src_tokens"),
-        A.shift_right(labels, bos).alias("tgt_tokens_input"),
-        A.ignore_mask(target, pad).alias("tgt_tokens_target"),
-        A.pad_to(F.col("attention_mask"), F.size("input_ids"), 0).alias("attention_mask"),
+    names = ["input_ids", "labels"]
+    measured = _measured(df, names, by)
+    source, labels = F.col(_longest("input_ids")), F.col(_longest("labels"))
+    target, length = (A.target_tail(F.col("labels")), labels - 1) if alignment == "reference" else (F.col("labels"), labels)
+    # A batch may be mostly padding, so only a row's own ids are masked one by one.
+    return measured.select(
+        *[c for c in df.columns if c not in ("input_ids", "attention_mask", "labels", *map(_longest, names))],
+        A.pad_to(F.col("input_ids"), source, pad).alias("src_tokens"),
+        A.shift_right(A.pad_to(F.col("labels"), labels, pad), bos).alias("tgt_tokens_input"),
+        A.pad_to(A.ignore_mask(target, pad), length, IGNORE_ID).alias("tgt_tokens_target"),
+        A.pad_to(F.col("attention_mask"), F.when(F.col("input_ids").isNotNull(), source), 0).alias("attention_mask"),
     )
 
 

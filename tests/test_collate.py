@@ -1,3 +1,4 @@
+import re
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,20 @@ def test_measured_lengths_give_the_same_batches(spark, rows, seed):
     assert sorted(map(str, measured.collect())) == sorted(map(str, plain.collect()))
 
 
+@pytest.mark.parametrize("alignment, tail", [("reference", 2), ("aligned", 1)])
+def test_padding_is_not_masked_id_by_id(spark, rows, capsys, alignment, tail):
+    """The function that runs per id sees a row's own labels, not those filled up to the longest of the batch."""
+    fed = C.collate(C.assign_batches(rows, 2, measure=("input_ids", "labels")), alignment=alignment)
+    plan = plan_of(fed, capsys)
+    masked = re.findall(r"transform\((.*?), lambdafunction", plan)
+    assert masked and not any("array_repeat" in m or "tgt" in m for m in masked)
+    padded = {r["id"]: r["labels"] for r in C.pad_batch(C.assign_batches(rows, 2), "labels").collect()}
+    for row in fed.collect():
+        labels = padded[row["id"]]
+        want = None if labels is None else [-100 if x == 0 else x for x in labels[tail - 1 :]]
+        assert row["tgt_tokens_target"] == want
+
+
 def plan_of(df, capsys):
     df.explain()
     return capsys.readouterr().out
