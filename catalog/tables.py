@@ -11,6 +11,7 @@ from catalog.encoding import DOC_VOCAB, DOCS, clean_and_vocab
 from catalog.registry import documents, long, query, table
 from seqprep.operators import analysis as N
 from seqprep.operators.encode import encode, token_labels
+from seqprep.operators.sampling import head_rows
 from seqprep.operators.vocab import first_token_id
 from seqprep.plans.evaluate import encoded_report
 from seqprep.session import shared_dir
@@ -209,8 +210,9 @@ def sample_report(spark, sf_dir):
     .replace("coalesce(text, '')", "coalesce(ktext, '')")
 )
 def encoded_sample_report(spark, sf_dir):
+    """The vocabulary is that of all documents; only those reported are encoded."""
     docs, vocab = clean_and_vocab(spark, sf_dir)
-    coded = encode(docs, "text", vocab, out="input_ids").withColumn("labels", F.col("input_ids"))
+    coded = encode(head_rows(docs, 5), "text", vocab, out="input_ids").withColumn("labels", F.col("input_ids"))
     pred = documents(spark, sf_dir).select("id", F.col("lang").alias("prediction"))
     return encoded_report(coded, pred, vocab)
 

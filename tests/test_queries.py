@@ -55,3 +55,12 @@ def test_labelled_projection_labels_every_position_with_its_word(spark):
     want = {(v // 10, v % 10): words[v // 10][v % 10] for v in vectors if v % 10 < len(words.get(v // 10, ()))}
     got = {(r.id, r.pos): r.token for r in QUERIES["labelled_projection"](spark, SF_SMALL).collect()}
     assert got == want and any(pos == 9 for _, pos in got)
+
+
+def test_sample_report_encodes_only_the_rows_reported(spark, monkeypatch):
+    from catalog import tables
+
+    seen, original = [], tables.encode
+    monkeypatch.setattr(tables, "encode", lambda df, *a, **k: seen.append(df.count()) or original(df, *a, **k))
+    assert QUERIES["encoded_sample_report"](spark, SF_SMALL).count() == 5
+    assert seen == [5]
