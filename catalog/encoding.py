@@ -13,6 +13,7 @@ from seqprep.operators import encode as E
 from seqprep.operators import vocab as V
 from seqprep.options import PrepOptions
 from seqprep.plans.prepare import prepare
+from seqprep.session import write_shared
 
 DOC_VOCAB = Q.vocab(f"SELECT {Q.words('text')} AS w FROM docs")
 DOCS = f"docs AS (SELECT doc_id AS id, {Q.normalize('text')} AS text FROM documents)"
@@ -23,8 +24,11 @@ def clean(spark, sf_dir):
     return documents(spark, sf_dir).select("id", normalize(F.col("text")).alias("text"))
 
 
-def clean_and_vocab(spark, sf_dir):
+def clean_and_vocab(spark, sf_dir, written=False):
+    """Documents and the vocabulary of all; ``written`` spares normalising them a second time to encode them."""
     docs = clean(spark, sf_dir)
+    if written:
+        docs = write_shared(docs, "clean")
     return docs, V.build_vocab(docs, ["text"])
 
 
@@ -36,13 +40,13 @@ _CUT = Q.encoded("enc", "docs", "text", 31)
 
 @query(f"WITH {DOCS}, {DOC_VOCAB}, {_IDS} SELECT id, {Q.ids_text('ids')} AS ids FROM enc")
 def encode(spark, sf_dir):
-    docs, vocab = clean_and_vocab(spark, sf_dir)
+    docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
     return E.encode(docs, "text", vocab, add_special=False).select("id", ids_text("ids").alias("ids"))
 
 
 @query(f"WITH {DOCS}, {DOC_VOCAB}, {_CUT} SELECT id, {Q.ids_text(Q.pad('list_append(ids, 3)', 32))} AS ids FROM enc")
 def encode_truncated_and_padded(spark, sf_dir):
-    docs, vocab = clean_and_vocab(spark, sf_dir)
+    docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
     coded = E.encode(docs, "text", vocab, max_len=32, padding="max_length")
     return coded.select("id", ids_text("ids").alias("ids"))
 
@@ -50,7 +54,7 @@ def encode_truncated_and_padded(spark, sf_dir):
 @query(f"WITH {DOCS}, {DOC_VOCAB}, {_IDS} SELECT id, {Q.ids_text('list_append(ids, 3)')} AS ids FROM enc")
 def encode_by_join(spark, sf_dir):
     """The same as for a vocabulary that is too large to broadcast."""
-    docs, vocab = clean_and_vocab(spark, sf_dir)
+    docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
     return E.encode(docs, "text", vocab, max_rows=0, hot_elements=100).select("id", ids_text("ids").alias("ids"))
 
 
@@ -177,15 +181,15 @@ _DECODED = f"""WITH {DOCS}, {DOC_VOCAB}, w AS (SELECT id, {Q.words('text')} AS w
 
 @query(_DECODED)
 def decode(spark, sf_dir):
-    docs, vocab = clean_and_vocab(spark, sf_dir)
-    return E.decode(E.encode(docs, "text", vocab), "ids", vocab).select("id", "text")
+    docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
+    return E.decode(E.encode(docs, "text", vocab).select("id", "ids"), "ids", vocab).select("id", "text")
 
 
 @query(_DECODED)
 def decode_by_join(spark, sf_dir):
     """The same as for a vocabulary that is too large to broadcast."""
-    docs, vocab = clean_and_vocab(spark, sf_dir)
-    return E.decode(E.encode(docs, "text", vocab), "ids", vocab, max_rows=0, hot_elements=100).select("id", "text")
+    docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
+    return E.decode(E.encode(docs, "text", vocab).select("id", "ids"), "ids", vocab, max_rows=0, hot_elements=100).select("id", "text")
 
 
 @query(
@@ -197,6 +201,6 @@ def decode_by_join(spark, sf_dir):
       SELECT id, pos::BIGINT AS pos, token_id::BIGINT AS token_id, token FROM l"""
 )
 def token_labels(spark, sf_dir):
-    docs, vocab = clean_and_vocab(spark, sf_dir)
+    docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
     labels = E.token_labels(E.encode(docs, "text", vocab), "ids", vocab)
     return labels.select("id", long("pos").alias("pos"), long("token_id").alias("token_id"), "token")

@@ -64,3 +64,21 @@ def test_sample_report_encodes_only_the_rows_reported(spark, monkeypatch):
     monkeypatch.setattr(tables, "encode", lambda df, *a, **k: seen.append(df.count()) or original(df, *a, **k))
     assert QUERIES["encoded_sample_report"](spark, SF_SMALL).count() == 5
     assert seen == [5]
+
+
+@pytest.mark.parametrize("name", ["encode", "decode", "decode_by_join"])
+def test_encoded_texts_are_normalised_once(spark, monkeypatch, name):
+    """The documents to encode are read as written, and ids are decoded without the texts beside them."""
+    from catalog import encoding
+
+    plans, columns, encode, decode = [], [], encoding.E.encode, encoding.E.decode
+
+    def encoded(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().toString())
+        return encode(df, *args, **kwargs)
+
+    monkeypatch.setattr(encoding.E, "encode", encoded)
+    monkeypatch.setattr(encoding.E, "decode", lambda df, *a, **k: columns.append(df.columns) or decode(df, *a, **k))
+    QUERIES[name](spark, SF_SMALL)
+    assert len(plans) == 1 and "regexp_replace" not in plans[0]
+    assert columns == [["id", "ids"]] * (name != "encode")
