@@ -1,4 +1,4 @@
-"""Connected components by label propagation with pointer jumps."""
+"""Connected components by contraction, with pointer jumps."""
 
 from __future__ import annotations
 
@@ -10,20 +10,42 @@ from seqprep.session import write_shared
 def components(links: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``links`` (a, b): the smallest node it is connected with.
 
-    Each round takes the smallest label among the neighbours and then follows
-    the labels' own labels, so the rounds grow with the logarithm of the longest
-    chain. Labels are combined before they are shuffled; the label side of each
-    join has one row per key, so a node with very many links can be split. Every
-    round is written to the shared folder; nothing is collected.
+    In each round every node takes its smallest neighbour, if that is smaller than
+    itself, and the trees this makes become one node each, named by their root;
+    links within a tree are gone and links between the same trees are one. Two
+    rounds leave at most half the nodes, and a round reads only the links that the
+    one before has left: of stars round their smallest node, none. Labels are
+    combined before they are shuffled; the label side of each join has one row per
+    key, so a node with very many links can be split. Every round is written to the
+    shared folder; nothing is collected.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
-    edges = write_shared(both, "links")
-    labels = write_shared(edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    edges = write_shared(ordered(links, "a", "b"), "links")
+    rounds = []
     while True:
-        heard = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
-        nearer = labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("near"))
-        jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
-        moved = write_shared(nearer.join(jump, "near").select("node", "old", F.least("near", "far").alias("label")), "labels")
+        smaller = edges.select(F.col("b").alias("node"), F.col("a").alias("label")).union(edges.select("a", "a"))
+        labels = roots(write_shared(smaller.groupBy("node").agg(F.min("label").alias("label")), "labels"))
+        rounds.append(labels)
+        between = edges.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
+        edges = write_shared(ordered(between, "_a", "_b"), "links")
+        if edges.isEmpty():
+            break
+    labels = rounds.pop()
+    while rounds:
+        further = rounds.pop().join(labels.toDF("label", "_to"), "label", "left")
+        labels = write_shared(further.select("node", F.coalesce("_to", "label").alias("label")), "labels")
+    return labels
+
+
+def ordered(links: DataFrame, a: str, b: str) -> DataFrame:
+    """The distinct links between different nodes, the smaller one first."""
+    return links.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def roots(labels: DataFrame) -> DataFrame:
+    """The labels followed to their ends, in steps that double."""
+    while True:
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        moved = write_shared(labels.join(jump, "label").select("node", F.col("label").alias("old"), F.col("far").alias("label")), "labels")
         labels = moved.select("node", "label")
         if moved.filter("label <> old").isEmpty():
             return labels

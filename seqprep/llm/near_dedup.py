@@ -363,9 +363,10 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80, small: i
     found = regrouped(crowds(mixed.select("key", "node")).withColumn("band", F.lit(0)), labels)
     labels = write_shared(merged(labels, write_shared(crowd_links(found, sets, percent), "links")), "labels")
 
-    named = labels.join(nodes.select("node", "first_id"), "node")
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    component = nodes.select("node", "k1", "k2", "first_id").join(labels, "node", "left").join(smallest, "label", "left")
+    named = labels.join(nodes.select("node", "first_id"), "node").select("node", F.col("label").alias("key"), "first_id")
+    smallest = named.groupBy("key").agg(F.min("first_id").alias("component_id"))
+    linked = with_row_of_key(named.select("key", "node"), smallest).select("node", "component_id")
+    component = nodes.select("node", "k1", "k2", "first_id").join(linked, "node", "left")
     by_class = component.select("k1", "k2", F.coalesce("component_id", "first_id").alias("component_id"))
     found = drawn.select("doc_id", "n_shingles", "k1", "k2").join(by_class, ["k1", "k2"], "left")
     id_of = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

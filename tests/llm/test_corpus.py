@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seqprep.llm import chat, decontaminate, near_dedup, packing, quality, suffix_array, suffix_dedup
+from seqprep.llm import chat, components, decontaminate, near_dedup, packing, quality, suffix_array, suffix_dedup
 from tests.llm.cases import as_rows, clashing, documents, prose, rows
 
 # --- packing ------------------------------------------------------------------
@@ -173,6 +173,39 @@ def test_texts_below_the_threshold_give_no_pair_rows(spark, monkeypatch):
     assert sum(tried) <= 120 * near_dedup.PIVOT_BANDS * 3
 
 
+def linked_graphs():
+    rng = random.Random(4)
+    order = rng.sample(range(400), 400)
+    yield [(5, 5)]  # no link at all
+    yield [(k, k + 1) for k in range(300)]
+    yield [(order[k], order[k + 1]) for k in range(399)] + [(7, 7), (order[1], order[0])]
+    yield [(999, k) for k in range(300)] + [(k, 1000) for k in range(250, 350)]
+    yield [(rng.randrange(500), rng.randrange(500)) for _ in range(350)]
+    # nodes of a crowd, each in several large buckets, linked with the least node of each
+    buckets = [rng.sample(range(600), 120) for _ in range(30)]
+    yield [(node, min(bucket)) for bucket in buckets for node in bucket]
+
+
+@pytest.mark.parametrize("links", list(linked_graphs()))
+def test_components_read_the_links_about_once(spark, monkeypatch, links):
+    label = {node: node for link in links for node in link if link[0] != link[1]}
+    for _ in label:
+        for a, b in links:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    frame = spark.createDataFrame(links, "a long, b long")
+    read, join = [], type(frame).join
+
+    def counted(left, right, *how):
+        read.append(left.count() if {"a", "b"} <= set(left.columns) else 0)
+        return join(left, right, *how)
+
+    monkeypatch.setattr(type(frame), "join", counted)
+    got = components.components(frame).collect()
+    assert {r.node: r.label for r in got} == label and len(got) == len(label)
+    assert sum(read) <= 5 * len({frozenset(link) for link in links if link[0] != link[1]})
+
+
 def test_intersections_and_forest():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(30)]
