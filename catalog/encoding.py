@@ -13,7 +13,7 @@ from seqprep.operators import encode as E
 from seqprep.operators import vocab as V
 from seqprep.options import PrepOptions
 from seqprep.plans.prepare import prepare
-from seqprep.session import write_shared
+from seqprep.session import remove_copies, write_shared
 
 DOC_VOCAB = Q.vocab(f"SELECT {Q.words('text')} AS w FROM docs")
 DOCS = f"docs AS (SELECT doc_id AS id, {Q.normalize('text')} AS text FROM documents)"
@@ -28,7 +28,7 @@ def clean_and_vocab(spark, sf_dir, written=False):
     """Documents and the vocabulary of all; ``written`` spares normalising them a second time to encode them."""
     docs = clean(spark, sf_dir)
     if written:
-        docs = write_shared(docs, "clean")
+        docs = write_shared(docs, "clean", "zstd")
     return docs, V.build_vocab(docs, ["text"])
 
 
@@ -189,7 +189,11 @@ def decode(spark, sf_dir):
 def decode_by_join(spark, sf_dir):
     """The same as for a vocabulary that is too large to broadcast."""
     docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
-    return E.decode(E.encode(docs, "text", vocab).select("id", "ids"), "ids", vocab, max_rows=0, hot_elements=100).select("id", "text")
+    coded = E.encode(docs, "text", vocab, keep=["id"]).select("id", "ids")
+    remove_copies(docs, but=coded)
+    text = E.decode(coded, "ids", vocab, keep=["id"], max_rows=0, hot_elements=100).select("id", "text")
+    remove_copies(docs, coded, but=text)  # the ids are written anew by now
+    return text
 
 
 @query(

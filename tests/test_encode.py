@@ -210,3 +210,45 @@ def test_both_sides_of_the_bounds_give_the_same_rows(spark, vocab):
     assert shown(wide) == shown(joined)
     back = [E.decode(d, "ids", vocab, **b) for d, b in ((wide, {}), (joined, {"max_rows": 0, "hot_elements": 1}))]
     assert sorted(map(repr, back[0].select("id", "text").collect())) == sorted(map(repr, back[1].select("id", "text").collect()))
+
+
+def test_joined_path_sends_an_element_once_a_block(spark, monkeypatch):
+    """Not once a position: 400 rows of eleven words in two blocks are eleven rows of the join each."""
+    monkeypatch.setattr(E, "HOT_ELEMENTS", 0)
+    written = {}
+    original = E.write_shared
+    monkeypatch.setattr(E, "write_shared", lambda df, label, *a: written.setdefault(label, original(df, label, *a)))
+    df = spark.range(400, numPartitions=2).select("id", F.expr("repeat(concat('the w', id % 10, ' '), 30)").alias("text"))
+    vocab = V.build_vocab(df, ["text"])
+    coded = E.encode(df, "text", vocab, **JOINED)
+    assert written["found"].count() == 2 * 11
+    written.clear()
+    ids = E.decode(coded.select("id", "ids"), "ids", vocab, keep=["id"], **JOINED)
+    assert written["found"].count() <= coded.rdd.getNumPartitions() * 11
+    assert by_id(ids, "text") == {r["id"]: r["text"].strip() for r in df.collect()}
+
+
+@pytest.mark.parametrize("elements, size", [(1, 1 << 20), (5, 1 << 20), (1000, 1), (1000, 100)])
+def test_blocks_of_any_size_give_the_same_rows(spark, vocab, monkeypatch, elements, size):
+    rows = [("the cat zz the", "mat", 1), (None, "dog the", 2), ("", None, 2), (None, None, None), ("cat " * 9, "the", 3)] * 2
+    df = spark.createDataFrame(rows, "a string, b string, id long").coalesce(1)
+    df = df.withColumn("at", F.timestamp_seconds("id")).withColumn("m", F.create_map("b", F.array("id")) if elements == 5 else F.lit(1))
+    df = df.withColumns({"x": F.split("a", " "), "y": F.split("b", " ")}).withColumn("y", F.when(F.col("id") == 2, F.array(F.lit(None), F.lit("the"))).otherwise(F.col("y")))
+    df = df.filter("b is not null") if elements == 5 else df
+    arrays = {"s": "x", "x": "y"}  # one of them takes the place of a column
+    made = []
+    for bounds in ({}, {"max_rows": 0, "hot_elements": 1}):
+        if bounds:
+            for name, value in (("BLOCK_ELEMENTS", elements), ("BLOCK_BYTES", size), ("OUT_BYTES", size)):
+                monkeypatch.setattr(E, name, value)
+        found = E.lookup_arrays(df, arrays, vocab, "token", "token_id", 1, **bounds)
+        few = E.lookup_arrays(df, arrays, vocab, "token", "token_id", None, keep=["id", "y"], **bounds)
+        assert few.columns == ["id", "x", "y", "s"]
+        made.append((found.columns, [t for _, t in found.dtypes], sorted(map(repr, found.collect())), sorted(map(repr, few.collect()))))
+    assert made[0] == made[1]
+
+
+def test_joined_path_keeps_columns_that_arrow_has_no_type_for(spark, texts, vocab):
+    df = texts.withColumn("m", F.expr("make_ym_interval(0, cast(id as int))"))
+    shown = [sorted(map(repr, E.encode(df, "text", vocab, **b).withColumn("m", F.col("m").cast("string")).collect())) for b in ({}, JOINED)]
+    assert shown[0] == shown[1] and len(shown[0]) == 7

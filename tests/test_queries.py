@@ -82,3 +82,19 @@ def test_encoded_texts_are_normalised_once(spark, monkeypatch, name):
     QUERIES[name](spark, SF_SMALL)
     assert len(plans) == 1 and "regexp_replace" not in plans[0]
     assert columns == [["id", "ids"]] * (name != "encode")
+
+
+def test_decode_by_join_leaves_no_copy_that_its_result_does_not_read(spark):
+    """The documents and the blocks they were encoded in are removed once their ids are written."""
+    import os
+    from collections import Counter
+    from urllib.parse import urlparse
+
+    from seqprep.session import _own_folder
+
+    folder = urlparse(_own_folder(spark)).path
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = QUERIES["decode_by_join"](spark, SF_SMALL)
+    left = set(os.listdir(folder)) - before
+    assert Counter(x.partition("-")[0] for x in left) == {"sorted": 1, "blocks": 1, "found": 1}
+    assert df.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()

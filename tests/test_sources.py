@@ -226,3 +226,38 @@ def test_csv_ids_are_numbers(spark, tmp_path):
     path.write_text("id,fr,en\n10,a,b\n9,c,d\n")
     made = R.read_parallel(spark, str(path), "csv", languages={"fr": "fr", "en": "en"})
     assert dict(made.dtypes)["id"] == "bigint"
+
+
+def test_written_copies_leave_no_shuffle_files(spark):
+    import time
+
+    from seqprep import session
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {f.getName() for f in _listed(disk.getAllFiles()) if f.getName().startswith("shuffle_")}
+    name = session._CLEANUP
+    before, setting = names(), spark.conf.get(name, None)
+    with session.shuffles_freed(spark):
+        session.write_shared(spark.range(1000).repartition(7, "id"), "dealt")
+        assert spark.conf.get(name) == "true"  # the inner one leaves it to the outer one
+    until = time.time() + 20
+    while names() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not names() - before
+    assert spark.conf.get(name, None) == setting
+
+
+def _listed(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_remove_copies(spark, tmp_path):
+    from seqprep import session
+
+    a, b = (session.write_shared(spark.range(n), "x") for n in (2, 3))
+    spark.range(4).write.parquet(f"{tmp_path}/own")
+    own = spark.read.parquet(f"{tmp_path}/own")
+    session.remove_copies(a.union(b).union(own), but=b)
+    assert own.count() == 4 and b.count() == 3  # what was not written as a copy stays
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|NOT_FOUND"):
+        a.collect()
