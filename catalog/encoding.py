@@ -206,5 +206,10 @@ def decode_by_join(spark, sf_dir):
 )
 def token_labels(spark, sf_dir):
     docs, vocab = clean_and_vocab(spark, sf_dir, written=True)
-    labels = E.token_labels(E.encode(docs, "text", vocab), "ids", vocab)
+    ids = E.vocab_lookup(vocab)
+    encoded = E.encode(docs, "text", ids, keep=["id"]).select("id", "ids")
+    coded = write_shared(encoded, "coded", "zstd")  # so that no task runs the workers of both lookups
+    remove_copies(docs, encoded)
+    labels = E.token_labels(coded, "ids", ids.reversed())
+    remove_copies(coded, but=labels)
     return labels.select("id", long("pos").alias("pos"), long("token_id").alias("token_id"), "token")

@@ -31,7 +31,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
 # Beyond them, so many of the most frequent elements of the column itself are
-# still resolved that way; any other holds less than one in this many positions.
+# still resolved that way; any other holds less than two in this many positions.
 # Of an element longer than HOT_BYTES only a digest is sent.
 HOT_ELEMENTS = 50_000
 HOT_BYTES = 1_024
@@ -78,17 +78,25 @@ class Lookup:
     """A two-column table ready to be looked up in, for any number of data frames.
 
     It is measured once. A table below both bounds is collected and sent to the
-    executors once; ``close`` frees it there. A larger one is joined.
+    executors once; ``close`` frees it there. A larger one is joined. ``fits``
+    tells what is known of the bounds already.
     """
 
-    def __init__(self, table: DataFrame, probe: str, value: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES):
+    def __init__(
+        self, table: DataFrame, probe: str, value: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, fits: bool | None = None
+    ):
         self.table, self.probe, self.value = table, probe, value
         self.element = table.schema[value].dataType
+        self.fits = _fits(table, max_rows, max_bytes) if fits is None else fits
         self.sent = None
-        if _fits(table, max_rows, max_bytes):
+        if self.fits:
             entries = table.select(probe, value).toArrow()
             self.sent = _send(table.sparkSession, entries)
 
+    def reversed(self) -> Lookup:
+        """The same table looked up by its values; it isn't measured again."""
+        return Lookup(self.table, self.value, self.probe, fits=self.fits)
+
     def close(self) -> None:
         """Free the executors' copies; frames made with the lookup can't be computed any more."""
         if self.sent is not None:
@@ -209,16 +217,20 @@ def _element_keyed(element: T.DataType):
 
 
 def _hot_entries(elements: DataFrame, known: DataFrame, n: int) -> pa.Table:
-    """Keys of at most ``n`` of the most frequent elements of all blocks, with their value, if any.
+    """Keys of at most ``n`` of the most frequent elements, with their value, if any.
 
-    The frequency that at most ``n`` elements exceed is found by counting
-    frequencies; no task sorts or holds the elements of others.
+    Only the ``n`` most frequent elements of each block are counted: what is in
+    no block among them is a row of the join for each block at most. The
+    frequency that at most ``n`` elements exceed is found by counting
+    frequencies; no task sorts or holds the elements of others. The keys, no more
+    than ``n``, are sent to the table, so that it isn't shuffled for them.
     """
     keyed = _element_keyed(elements.schema["_element"].dataType)
-    counts = write_shared(elements.groupBy(keyed(F.col("_element")).alias("_hot")).agg(F.sum("_n").alias("_n")), "element-counts")
+    often = elements.filter(F.col("_code") < n)
+    counts = write_shared(often.groupBy(keyed(F.col("_element")).alias("_hot")).agg(F.sum("_n").alias("_n")), "element-counts")
     edge = nth_largest(counts, "_n", n + 1) if n else (float("inf"), 0)
     hot = counts.select("_hot") if edge is None else counts.filter(F.col("_n") > edge[0]).select("_hot")
-    found = known.select(keyed(F.col("_known")).alias("_hot"), "_value")
+    found = known.select(keyed(F.col("_known")).alias("_hot"), "_value").join(F.broadcast(hot), "_hot")
     with shuffles_freed(counts.sparkSession):
         entries = hot.join(found, "_hot", "left").toArrow()  # n rows at most
     remove_copies(counts)
@@ -238,10 +250,10 @@ def _joined_lookup(
     """The same replacement for a table of any size.
 
     The rows are written once, in blocks, with each distinct element of a block
-    beside them. The ``hot_elements`` most frequent elements (found by a partial
-    count) are sent, whether the table has them or not; the others are joined,
-    once for each block that has them - none is in so many that it skews the
-    join. The values found meet the rows of their block, which go there as they
+    beside them. The ``hot_elements`` most frequent elements (found by a count of
+    each block's most frequent) are sent, whether the table has them or not; the
+    others are joined, once for each block that has them - none is in so many
+    that it skews the join. The values found meet the rows of their block, which go there as they
     are stored. No key is needed, and rows with equal or NULL keys stay apart.
     """
     spark, element = df.sparkSession, table.schema[value].dataType
@@ -481,4 +493,3 @@ def token_labels(
     return found.select(*keys, F.posexplode(pairs).alias("pos", "_p")).select(
         *keys, "pos", F.col("_p.token_id").alias("token_id"), F.col("_p.token").alias("token")
     )
-

@@ -211,31 +211,30 @@ def _nth(rows: DataFrame, keys: Sequence[str], n: int):
 def nth_largest(df: DataFrame, col: str, n: int) -> tuple[int, int] | None:
     """The n-th largest value (from 1) of a column of whole numbers from 0, and how many rows are above it.
 
-    None when there are fewer rows. The value is found twelve bits at a time:
-    every step counts the rows per value of the next bits, at most 4,096 counts
-    per task, so no task or driver ever holds n rows.
+    None when there are fewer rows. One pass counts the rows per order of
+    magnitude and leading twelve bits, at most 4,096 counts per task for values
+    below 4,096 and 2,048 for each power of two above; those values are found by
+    it, larger ones twelve bits deeper each time. No task or driver ever holds n
+    rows.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    top = df.agg(F.max(col).alias("top")).head()["top"]
-    if top is None:
-        return None
-    shift = max(0, int(top).bit_length() - 1) // 12 * 12
-    prefix, above = 0, 0
+    value = F.col(col).cast("long")
+    level = F.greatest(F.length(F.bin(value)) - 12, F.lit(0))
+    groups = level.alias("shift"), F.call_function("shiftright", value, level).alias("digits")
+    inside, above = df.filter(value.isNotNull()), 0
     while True:
-        digits = F.shiftright(F.col(col).cast("long"), shift)
-        inside = df if shift + 12 > int(top).bit_length() else df.filter(F.shiftright(F.col(col).cast("long"), shift + 12) == prefix)
-        counted = sorted(inside.groupBy(digits.alias("digits")).count().collect(), reverse=True)
-        for row in counted:
+        for row in sorted(inside.groupBy(*groups).count().collect(), reverse=True):
             if above + row["count"] >= n:
-                prefix = row["digits"]
                 break
             above += row["count"]
         else:
             return None
-        if not shift:
-            return prefix, above
-        shift -= 12
+        if not row["shift"]:
+            return row["digits"], above
+        inside = inside.filter(F.shiftright(value, row["shift"]) == row["digits"])
+        shift = max(row["shift"] - 12, 0)
+        groups = F.lit(shift).alias("shift"), F.shiftright(value, shift).alias("digits")
 
 
 def head_rows(df: DataFrame, n: int = 5, key: Key = "id") -> DataFrame:

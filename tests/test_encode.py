@@ -252,3 +252,65 @@ def test_joined_path_keeps_columns_that_arrow_has_no_type_for(spark, texts, voca
     df = texts.withColumn("m", F.expr("make_ym_interval(0, cast(id as int))"))
     shown = [sorted(map(repr, E.encode(df, "text", vocab, **b).withColumn("m", F.col("m").cast("string")).collect())) for b in ({}, JOINED)]
     assert shown[0] == shown[1] and len(shown[0]) == 7
+
+
+def test_nth_largest_of_small_values_reads_the_table_once(spark):
+    from seqprep.operators.sampling import nth_largest
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def noted(value):
+        read.add(1)
+        return value
+
+    df = spark.range(50).select(noted.asNondeterministic()("id").alias("v"))
+    assert nth_largest(df, "v", 10) == (40, 9)
+    assert read.value == 50
+
+
+@pytest.mark.parametrize("hot", [0, 1, 2, 100])
+def test_only_the_frequent_elements_of_a_block_are_counted(spark, monkeypatch, hot):
+    written = {}
+    original = E.write_shared
+    monkeypatch.setattr(E, "write_shared", lambda df, label, *a: written.setdefault(label, original(df, label, *a)))
+    monkeypatch.setattr(E, "remove_copies", lambda *a, **k: None)
+    df = spark.range(200, numPartitions=2).select("id", F.expr("concat('the the odd w', id % 10, ' v', id)").alias("text"))
+    vocab = V.build_vocab(df.filter("id > 5"), ["text"]).filter("token <> 'odd'")
+    coded = E.encode(df, "text", vocab, hot_elements=hot, **JOINED)
+    blocks = written["blocks"].select("_block").distinct().count()
+    assert written["element-counts"].count() <= blocks * hot
+    assert by_id(coded, "ids") == by_id(E.encode(df, "text", vocab), "ids")
+
+
+def test_a_lookup_and_its_reverse_measure_the_table_once(spark, vocab, monkeypatch):
+    measured = []
+    original = E._fits
+    monkeypatch.setattr(E, "_fits", lambda *a: measured.append(a) or original(*a))
+    rows = [(1, "the cat"), (1, "the cat"), (None, "zebra the"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    shown = []
+    for bounds in ({}, JOINED):
+        measured.clear()
+        ids = E.vocab_lookup(vocab, **bounds)
+        labels = E.token_labels(E.encode(df, "text", ids, keep=["id"]), "ids", ids.reversed())
+        shown.append(sorted(map(repr, labels.collect())))
+        assert len(measured) == 1
+    assert shown[0] == shown[1] and len(shown[0]) == 3 + 3 + 3 + 1
+
+
+def test_token_labels_query_writes_no_text_again(spark, tmp_path, monkeypatch):
+    from catalog import encoding
+
+    rows = [(1, "The cat, the cat!", "en"), (1, "The cat, the cat!", "en"), (2, None, None), (3, "", "en"), (4, " -- ", "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = []
+    original = E._blocks
+    monkeypatch.setattr(E, "_blocks", lambda df, keep, arrays: kept.append(list(keep)) or original(df, keep, arrays))
+    shown = [sorted(map(tuple, encoding.token_labels(spark, str(tmp_path)).collect()), key=repr)]
+    vocab_lookup = E.vocab_lookup
+    monkeypatch.setattr(E, "vocab_lookup", lambda vocab: vocab_lookup(vocab, **JOINED))
+    shown.append(sorted(map(tuple, encoding.token_labels(spark, str(tmp_path)).collect()), key=repr))
+    assert shown[0] == shown[1] and kept == [["id"], ["id", "ids"]]
+    words = [(1, 0, "the"), (1, 1, "cat,"), (1, 2, "the"), (1, 3, "cat"), (1, 4, "<eos>")]
+    assert sorted((i, p, t) for i, p, _, t in shown[0]) == sorted([*words, *words, (3, 0, "<eos>"), (4, 0, "<eos>")])
