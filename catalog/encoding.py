@@ -141,10 +141,12 @@ def _as_text(encoded):
 
 def encoded_pairs(spark, sf_dir, opts: PrepOptions):
     """All pairs, encoded with the vocabulary of the training rows."""
-    both = E.select_pair(pairs(spark, sf_dir))
+    both = write_shared(E.select_pair(pairs(spark, sf_dir)), "pairs", "zstd")  # read for the vocabulary and again to be encoded
     texts = [normalize(F.col("source")), normalize(F.col("target"))]
     vocab = V.build_vocab(both.filter("split = 'train'"), texts)
-    return E.encode_pairs(both, vocab, opts)
+    encoded = E.encode_pairs(both, vocab, opts)
+    remove_copies(both, but=encoded)
+    return encoded
 
 
 ALL_PADDED = _pair_sql(_ALL, 128, 128, True)

@@ -314,3 +314,27 @@ def test_token_labels_query_writes_no_text_again(spark, tmp_path, monkeypatch):
     assert shown[0] == shown[1] and kept == [["id"], ["id", "ids"]]
     words = [(1, 0, "the"), (1, 1, "cat,"), (1, 2, "the"), (1, 3, "cat"), (1, 4, "<eos>")]
     assert sorted((i, p, t) for i, p, _, t in shown[0]) == sorted([*words, *words, (3, 0, "<eos>"), (4, 0, "<eos>")])
+
+
+@pytest.mark.parametrize("bounds", [{}, JOINED])
+def test_encode_pairs_query_makes_its_pairs_once(spark, monkeypatch, bounds):
+    from catalog import encoding
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        made.add(1)
+        return text
+
+    rows = [(1, "train", "The cat", "le chat"), (1, "train", "The cat", "le chat"), (2, "test", None, "zebra the"), (3, "train", "", None), (None, "validation", "The", "")]
+    given = spark.createDataFrame(rows, "id long, split string, fr string, en string")
+    pairs = given.select("id", "split", F.struct(noted.asNondeterministic()("fr").alias("fr"), "en").alias("translation"))
+    monkeypatch.setattr(encoding, "pairs", lambda *a: pairs)
+    encode_pairs = E.encode_pairs
+    monkeypatch.setattr(E, "encode_pairs", lambda df, vocab, opts: encode_pairs(df, vocab, opts, **bounds))
+    shown = encoding.encode_pairs_variable_length(spark, "").collect()
+    assert made.value == len(rows)
+    assert sorted([(r["id"], r["split"], r["input_ids"], r["labels"]) for r in shown], key=repr) == sorted(
+        [(1, "train", "7 4 3", "6 5 3"), (1, "train", "7 4 3", "6 5 3"), (2, "test", None, "1 7 3"), (3, "train", "3", None), (None, "validation", "7 3", "3")], key=repr
+    )
