@@ -116,22 +116,20 @@ def vocab_lookup(vocab: DataFrame, **bounds: int) -> Lookup:
 
 
 def _send(spark: SparkSession, entries: pa.Table):
-    return spark.sparkContext.broadcast(tuple(entries.column(i).combine_chunks() for i in (0, 1)))
+    """The values by element, as a worker reads them once for all its tasks, and their type."""
+    elements, values = (column.to_pylist() for column in entries.columns)
+    return spark.sparkContext.broadcast((dict(zip(elements, values, strict=True)), entries.schema.types[1]))
 
 
 def _broadcast_lookup(sent, element: T.DataType, default: int | None):
-    """A Column function that replaces each array element by its table value; ``sent`` holds elements and values."""
-    places: dict = {}  # filled once per task
+    """A Column function that replaces each array element by its table value; ``sent`` holds the values by element."""
 
     @F.arrow_udf(T.ArrayType(element))
     def lookup(column: pa.Array) -> pa.Array:
-        keys, values = sent.value
-        if not places:
-            places.update((k, i) for i, k in enumerate(keys.to_pylist()))
+        known, kind = sent.value
         # Each distinct element of the batch is looked up once.
         coded = column.flatten().dictionary_encode()
-        place = pa.array([places.get(item) for item in coded.dictionary.to_pylist()], pa.int64())
-        found = values.take(place).take(coded.indices)
+        found = pa.array([known.get(item) for item in coded.dictionary.to_pylist()], kind).take(coded.indices)
         if default is not None:  # for NULL elements as well
             found = pc.fill_null(found, default)
         lengths = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False)

@@ -338,3 +338,14 @@ def test_encode_pairs_query_makes_its_pairs_once(spark, monkeypatch, bounds):
     assert sorted([(r["id"], r["split"], r["input_ids"], r["labels"]) for r in shown], key=repr) == sorted(
         [(1, "train", "7 4 3", "6 5 3"), (1, "train", "7 4 3", "6 5 3"), (2, "test", None, "1 7 3"), (3, "train", "3", None), (None, "validation", "7 3", "3")], key=repr
     )
+
+
+def test_a_sent_lookup_is_ready_to_use_in_every_task(spark, vocab):
+    """A task looks its own elements up; it makes no dictionary of the whole table."""
+    sent = E.vocab_lookup(vocab).sent.value
+    assert sent[0] == by_id(vocab.withColumnRenamed("token", "id"), "token_id") and str(sent[1]) == "int32"
+    table = spark.createDataFrame([("a", 1), ("b", None), (None, 3), ("c", 2**40)], "token string, token_id long")
+    df = spark.createDataFrame([(1, ["a", "b", None, "z", "c"]), (1, ["a", "b", None, "z", "c"]), (2, []), (3, None)], "id long, x array<string>")
+    for default, want in ((None, [1, None, None, None, 2**40]), (7, [1, 7, 7, 7, 2**40])):
+        found = E.lookup_arrays(df.repartition(3), {"y": "x"}, table, "token", "token_id", default)
+        assert sorted(((r["id"], r["y"]) for r in found.collect()), key=repr) == [(1, want), (1, want), (2, []), (3, None)]
