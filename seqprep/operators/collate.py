stack_batches: one batch after the other instead of a hash table of batches

Symptom: once a task has over 128 batches, stack_batches sorts the padded rows a second time, and spills.
Evidence: the large input (0.51 GB) in 12 partitions, 6 cores, 4 GB heap, outside the tool before: 1400 MB spilled to disk (15,413 MB in memory) in the stage of the aggregate, 205.7 task seconds; with 2 GB one of two runs failed there while it spilled. the profiler before, 51 partitions: spill 0, 533 CPU seconds a GB, executor 2420 MB. collect_list fills a hash table of up to 128 batches, then falls back to sorting, though padding has already left the rows sorted by batch.
Fix: the session aggregates sorted rows in order, so that one sort aggregate without a sort of its own takes the place of two hash aggregates, and a task holds one batch. Same matrices with null arrays, null and repeated ids.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 604 -> 600 s, shuffle 2.03 -> 2.03 GB, spill 0.44 -> 0.00 GB, read 1.36 -> 1.36 GB, longest task 23 -> 23 s, most memory of a task 172 -> 169 MB; at 6 GB of input CPU 2896 -> 2782 s, shuffle 12.35 -> 12.35 GB, spill 3.47 -> 0.00 GB, read 8.27 -> 8.27 GB, longest task 23 -> 21 s, most memory of a task 172 -> 135 MB; with hot keys, at 1 GB of input CPU 209 -> 210 s, shuffle 0.39 -> 0.39 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.25 GB, longest task 6 -> 6 s, most memory of a task 68 -> 68 MB.

@@ -10,7 +10,7 @@ from seqprep.functions import arrays as A
 from seqprep.operators.guards import require_columns
 from seqprep.operators.sampling import MAX_DIGITS, Key, _keys, hash_index, order_hash, small_table, sorted_index
 from seqprep.options import BOS_ID, IGNORE_ID, PAD_ID
-from seqprep.session import write_shared
+from seqprep.session import group_by_group, write_shared
 
 COLLATED_COLUMNS = ("src_tokens", "tgt_tokens_input", "tgt_tokens_target", "attention_mask")
 
@@ -154,7 +154,11 @@ def _measured(df: DataFrame, names: Sequence[str], by: str) -> DataFrame:
 
 
 def stack_batches(df: DataFrame, cols: Sequence[str] = COLLATED_COLUMNS, by: str = "batch_id") -> DataFrame:
-    """One row per batch; each column becomes a matrix in batch order."""
+    """One row per batch; each column becomes a matrix in batch order.
+
+    Padded and clustered rows lie sorted by batch, so a task holds one batch at a time.
+    """
+    group_by_group(df.sparkSession)
     rows = F.sort_array(F.collect_list(F.struct("pos_in_batch", *cols)))
     columns = _batch_columns(df, by)
     stacked = df.groupBy(*columns).agg(rows.alias("_rows"))

@@ -172,3 +172,21 @@ def test_repeated_and_null_keys_keep_their_rows(spark):
             made = C.assign_batches(df, 2, seed=seed, measure=measure)
             assert sorted(tuple(r.input_ids) for r in made.collect()) == [(4, 5), (6,), (7,), (8, 9, 9)]
             assert sorted((r.batch_id, r.pos_in_batch) for r in made.collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+
+
+def test_stacking_holds_one_batch_at_a_time(spark, capsys):
+    """Sorted rows are aggregated in order: no hash table of whole batches, no second sort of the padded rows."""
+    given = [(i % 7 or None, [4] * (i % 5), [5, 3]) for i in range(600)] + [(8, None, [6, 3]), (8, None, [6, 3]), (9, [4], None), (9, [4, None], [])]
+    rows = spark.createDataFrame(given, "id long, input_ids array<int>, labels array<int>")
+    rows = rows.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+    for placed in (C.assign_batches(rows, 4), C.cluster_batches(C.assign_batches(rows, 4), 8)):
+        fed = C.collate(placed)
+        stacked = C.stack_batches(fed)
+        plan = plan_of(stacked, capsys)
+        assert "ObjectHashAggregate" not in plan and plan.count("SortAggregate") == 1
+        assert plan[plan.index("SortAggregate") : plan.index("Window")].count("Sort ") == 0
+        want = {}
+        for r in sorted(fed.collect(), key=lambda r: (r["batch_id"], r["pos_in_batch"])):
+            want.setdefault(r["batch_id"], []).append([r[c] for c in C.COLLATED_COLUMNS])
+        got = {r["batch_id"]: [list(x) for x in zip(*(r[c] for c in C.COLLATED_COLUMNS), strict=True)] for r in stacked.collect()}
+        assert got == want and len(got) == 151
