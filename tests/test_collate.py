@@ -190,3 +190,19 @@ def test_stacking_holds_one_batch_at_a_time(spark, capsys):
             want.setdefault(r["batch_id"], []).append([r[c] for c in C.COLLATED_COLUMNS])
         got = {r["batch_id"]: [list(x) for x in zip(*(r[c] for c in C.COLLATED_COLUMNS), strict=True)] for r in stacked.collect()}
         assert got == want and len(got) == 151
+
+
+@pytest.mark.parametrize("measure", [(), ("input_ids",)])
+def test_wide_rows_are_not_sorted_to_meet_their_place(spark, rows, capsys, measure):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = C.assign_batches(rows.union(rows).withColumn("id", F.when(F.col("id") > 1, F.col("id"))), 2, measure=measure)
+        plan = plan_of(placed, capsys)
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BuildRight" in plan
+        found = placed.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    places = sorted((r["batch_id"], r["pos_in_batch"]) for r in found)
+    assert places == [(i // 2, i % 2) for i in range(2 * rows.count())]
+    in_order = [r["id"] for r in sorted(found, key=lambda r: (r["batch_id"], r["pos_in_batch"]))]
+    assert in_order == sorted(in_order, key=lambda i: -1 if i is None else i)
