@@ -265,7 +265,8 @@ def _joined_lookup(
 
     here = keyed(F.col("_element")) == F.col("_hot")
     often = entries.join(hot.filter("_value is not null"), here)
-    rare = entries.join(hot, here, "left_anti").join(known, F.col("_element") == F.col("_known"))
+    # The table is hashed: an element is there once, so the entries, which are many more, needn't be sorted.
+    rare = entries.join(hot, here, "left_anti").join(known.hint("shuffle_hash"), F.col("_element") == F.col("_known"))
     found = often.select("_block", "_code", "_value").unionByName(rare.select("_block", "_code", "_value"))
     found = write_shared(found, "found", "zstd")  # the join's shuffle files go before the rows travel
     rows = blocks.filter("_codes is not null").select("_block", "_n", "_rows", "_codes")

@@ -349,3 +349,26 @@ def test_a_sent_lookup_is_ready_to_use_in_every_task(spark, vocab):
     for default, want in ((None, [1, None, None, None, 2**40]), (7, [1, 7, 7, 7, 2**40])):
         found = E.lookup_arrays(df.repartition(3), {"y": "x"}, table, "token", "token_id", default)
         assert sorted(((r["id"], r["y"]) for r in found.collect()), key=repr) == [(1, want), (1, want), (2, []), (3, None)]
+
+
+def test_rare_elements_are_not_sorted_to_be_found(spark, monkeypatch, capsys):
+    """The larger side of the join streams past a hash table of the vocabulary; nulls and repeated rows keep their place."""
+    plans = []
+    original = E.write_shared
+
+    def write(df, label, *a):
+        if label == "found":
+            df.explain()
+            plans.append(capsys.readouterr().out)
+        return original(df, label, *a)
+
+    monkeypatch.setattr(E, "write_shared", write)
+    rows = [(1, "the cat sat"), (1, "the cat sat"), (None, "zebra dog the"), (2, None), (3, ""), (4, "mat mat hat")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    vocab = V.build_vocab(df, ["text"]).filter("token not in ('zebra', 'the')")
+    coded = E.encode(df, "text", vocab, **JOINED)
+    labels = E.token_labels(coded, "ids", vocab, **JOINED)
+    assert len(plans) == 2 and all(p.count("ShuffledHashJoin") == 1 and "SortMergeJoin" not in p for p in plans)
+    wide = E.encode(df, "text", vocab)
+    assert sorted(map(repr, coded.collect())) == sorted(map(repr, wide.collect()))
+    assert sorted(map(repr, labels.collect())) == sorted(map(repr, E.token_labels(wide, "ids", vocab).collect()))
